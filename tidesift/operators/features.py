@@ -13,6 +13,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidesift.functions.lookup import LiteralMap
+from tidesift.functions.once import compute_once
 from tidesift.functions.text import case_fold, tokenize
 from tidesift.sources.local import local_frame
 
@@ -57,7 +58,7 @@ def term_tokens(text: Column) -> Column:
 
 def add_terms(df: DataFrame, text: str = "processed_text", out: str = "terms") -> DataFrame:
     """Adds the words and word pairs of a text."""
-    tokens = df.withColumn("_tokens", term_tokens(F.col(text)))
+    tokens = compute_once(df, {"_tokens": term_tokens(F.col(text))})
     return tokens.withColumn(out, F.concat("_tokens", bigrams(F.col("_tokens")))).drop("_tokens")
 
 
@@ -67,17 +68,16 @@ def add_term_counts(df: DataFrame, text: str = "processed_text", out: str = "ter
     The terms are sorted; an entry's count is the distance to where the next
     different term starts.
     """
-    sorted_ = add_terms(df, text, "_terms").withColumn("_terms", F.array_sort("_terms"))
+    sorted_ = compute_once(add_terms(df, text, "_terms"), {"_terms": F.array_sort("_terms")})
     size = F.size("_terms")
     positions = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
-    starts = sorted_.withColumn(
-        "_starts", F.filter(positions, lambda i: (i == 0) | (F.get("_terms", i) != F.get("_terms", i - 1)))
-    )
+    first = lambda i: (i == 0) | (F.get("_terms", i) != F.get("_terms", i - 1))
+    starts = compute_once(sorted_, {"_starts": F.filter(positions, first)})
     entry = lambda start, i: F.struct(
         F.get("_terms", start).alias("term"),
         (F.coalesce(F.get("_starts", i + 1), size) - start).alias("tf"),
     )
-    return starts.withColumn(out, F.transform("_starts", entry)).drop("_terms", "_starts")
+    return compute_once(starts, {out: F.transform("_starts", entry)}).drop("_terms", "_starts")
 
 
 @dataclass
@@ -141,11 +141,11 @@ class TfidfModel:
             ),
         )
         # Terms are numbered in alphabetical order and come sorted, so idx ascends.
-        weighed = counted.withColumn("_raw", raw).drop("_counts")
+        weighed = compute_once(counted, {"_raw": raw}).drop("_counts")
         square = F.aggregate("_raw", F.lit(0.0), lambda s, e: s + e["value"] * e["value"])
-        normed = weighed.withColumn("_norm", F.sqrt(square))
+        normed = compute_once(weighed, {"_norm": F.sqrt(square)})
         scale = lambda e: F.struct(e["idx"].alias("idx"), (e["value"] / F.col("_norm")).alias("value"))
-        return normed.withColumn(out, F.transform("_raw", scale)).drop("_raw", "_norm")
+        return compute_once(normed, {out: F.transform("_raw", scale)}).drop("_raw", "_norm")
 
 
 def long_form(df: DataFrame, id_col: str = "doc_id", column: str = "tfidf") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidesift.functions import text as tx
 from tidesift.functions.lookup import LiteralSet
+from tidesift.functions.once import compute_once
 from tidesift.operators.joins import drop_tokens, map_tokens
 from tidesift.operators.langid import LanguageProfiles, ngram_language_id
 from tidesift.sources import wordlists
@@ -49,7 +50,7 @@ def language_heuristic(tokens: Column, strong: list[str]) -> Column:
 
 def _tokens(df: DataFrame, text: str) -> DataFrame:
     clean = tx.case_fold(tx.filter_text(F.col(text)))
-    return df.withColumn("_tokens", tx.tokenize(clean, squeezed=True))
+    return compute_once(df, {"_tokens": tx.tokenize(clean, squeezed=True)})
 
 
 def _keep_language(df: DataFrame, tables: TextTables, id_col: str) -> DataFrame:
@@ -89,14 +90,14 @@ def preprocess(
     if filter_lang:
         out = _keep_language(out, tables, id_col)
     out = map_tokens(out, "_tokens", tables.word_map, "word", "formal", id_col)
-    out = out.withColumn("_light", F.trim(F.array_join("_tokens", " ")))
+    out = compute_once(out, {"_light": F.trim(F.array_join("_tokens", " "))})
     if processed:
         # Formal words may hold blanks, so the light text is split once more.
         out = out.withColumn("_tokens", tx.tokenize(F.col("_light"), squeezed=True))
         out = drop_tokens(out, "_tokens", tables.stopwords, "word", MIN_WORD, id_col)
         if tables.stems is not None:
             out = map_tokens(out, "_tokens", tables.stems, "word", "stem", id_col)
-        out = out.withColumn(processed, F.array_join("_tokens", " "))
+        out = compute_once(out, {processed: F.array_join("_tokens", " ")})
     if light:
         out = out.withColumn(light, F.col("_light"))
     return out.drop("_tokens", "_light")

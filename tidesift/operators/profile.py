@@ -8,7 +8,7 @@ from tidesift.functions.text import is_blank
 
 
 def drop_missing_text(df: DataFrame, text: str = "text") -> DataFrame:
-    return df.na.drop(subset=[text])
+    return df.filter(F.col(text).isNotNull())
 
 
 def dedup_keep_first(df: DataFrame, text: str = "text", order_col: str = "doc_id") -> DataFrame:

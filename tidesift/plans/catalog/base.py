@@ -94,8 +94,10 @@ def light_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 def labelled(spark: SparkSession, sf: str, negated: bool = True) -> DataFrame:
     """Deduplicated documents with both texts, score and label, all languages."""
+    # Not spread first: the shuffle that brings copies together does that.
+    raw = table(spark, sf, "documents").select("doc_id", "lang", "text")
     return build_labelled(
-        documents(spark, sf), tables(spark), lexicon(spark), filter_lang=False, negated=negated
+        raw, tables(spark), lexicon(spark), filter_lang=False, negated=negated
     )
 
 

@@ -62,12 +62,13 @@ SELECT word, arg_max(trunc(try_cast(weight AS DOUBLE)), doc_id)::INT AS weight
 FROM rows WHERE try_cast(weight AS DOUBLE) IS NOT NULL GROUP BY word
 """)
 def load_lexicon_tsv(spark: SparkSession, sf: str) -> DataFrame:
-    rows = light_tokens(spark, sf).join(documents(spark, sf, "doc_id", "n_chars"), "doc_id").filter(F.size("tokens") >= 2)
+    words = tx.tokenize(tx.filter_text(F.col("text")), squeezed=True)
+    rows = documents(spark, sf, "doc_id", "n_chars", "text").withColumn("tokens", words).filter(F.size("tokens") >= 2)
     number = (F.col("n_chars").cast("double") / 100 - 5).cast("string")
     rows = rows.select(
         F.col("doc_id").alias("line"),
-        F.concat(F.lit("  "), F.upper(F.col("tokens")[0]), F.lit(" ")).alias("word"),
-        F.when(F.col("tokens")[1] == "the", "weight").otherwise(number).alias("weight"),
+        F.concat(F.lit("  "), F.col("tokens")[0], F.lit(" ")).alias("word"),
+        F.when(F.lower(F.col("tokens")[1]) == "the", "weight").otherwise(number).alias("weight"),
     )
     return files.clean_lexicon(rows)
 
