@@ -98,4 +98,4 @@ def tokenize(c: Column, squeezed: bool = False) -> Column:
 
 def is_blank(c: Column) -> Column:
     """True for null and for texts of blanks only."""
-    return F.coalesce(squeeze_spaces(c), F.lit("")) == ""
+    return ~F.coalesce(c.rlike(NOT_SPACE), F.lit(False))

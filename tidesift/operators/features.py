@@ -11,11 +11,13 @@ from dataclasses import dataclass
 
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidesift.functions.lookup import LiteralMap
 from tidesift.functions.once import compute_once
 from tidesift.functions.text import case_fold, tokenize
 from tidesift.sources.local import local_frame
+from tidesift.sources.scratch import stage
 
 MAX_FEATURES = 20_000
 MIN_DF = 3
@@ -68,7 +70,7 @@ def add_term_counts(df: DataFrame, text: str = "processed_text", out: str = "ter
     The terms are sorted; an entry's count is the distance to where the next
     different term starts.
     """
-    sorted_ = compute_once(add_terms(df, text, "_terms"), {"_terms": F.array_sort("_terms")})
+    sorted_ = compute_once(add_terms(df, text, "_terms"), {"_terms": F.sort_array("_terms")})
     size = F.size("_terms")
     positions = F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
     first = lambda i: (i == 0) | (F.get("_terms", i) != F.get("_terms", i - 1))
@@ -156,13 +158,30 @@ def long_form(df: DataFrame, id_col: str = "doc_id", column: str = "tfidf") -> D
 def assemble_vectors(df: DataFrame, size: int, column: str = "tfidf", out: str = "features") -> DataFrame:
     """Sparse vectors for Spark ML: the one step without a built-in function."""
 
-    @F.udf(VectorUDT())
+    @F.udf(VectorUDT(), useArrow=True)
     def sparse(indices, values):
         return Vectors.sparse(size, indices, values)
 
     return df.withColumn(out, sparse(F.col(f"{column}.idx"), F.col(f"{column}.value")))
 
 
+def stage_vectors(df: DataFrame, size: int, name: str, column: str = "tfidf", out: str = "features") -> DataFrame:
+    """``assemble_vectors`` for a table that is written anyway: the file's columns are read back as vectors.
+
+    A sparse vector is stored as kind 0, size, indices and values, so no row
+    passes through Python.
+    """
+    vector = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(size).alias("size"),
+        F.col(f"{column}.idx").alias("indices"),
+        F.col(f"{column}.value").alias("values"),
+    )
+    keep = [f for f in df.schema.fields if f.name != column]
+    schema = StructType([*keep, StructField(out, VectorUDT())])
+    return stage(df.select(*[f.name for f in keep], vector.alias(out)), name, schema)
+
+
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """``(label, n, weight)``: rows over classes times rows of the class."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))

@@ -1,16 +1,20 @@
 """Token tables and the joins used for dictionaries over the literal bound.
 
-A single frequent word can hold a third of all tokens, so a shuffle by word is
-salted: tokens get one of ``SALTS`` numbers, dictionary rows get all of them.
+A single frequent word can hold a third of all tokens, so a shuffle by word must
+not send each word to one task. Frequent words are looked for in the first texts
+and get salts in proportion to their share, rare words get none. The guess only
+decides how the work is spread: the join is exact whatever it says.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidesift.functions.lookup import small_map, small_set
+from tidesift.functions.lookup import LiteralMap, small_map, small_set
 
-SALTS = 16
+PROBE_TEXTS = 5000
+# Salts per average partition's worth of tokens.
+SALTS_PER_PARTITION = 4
 
 
 def explode_tokens(df: DataFrame, tokens: str = "tokens", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -18,19 +22,32 @@ def explode_tokens(df: DataFrame, tokens: str = "tokens", keep: tuple[str, ...]
     return df.select(*keep, F.posexplode(tokens).alias("pos", "token"))
 
 
-def join_by_word(tokens: DataFrame, table: DataFrame, word: str, how: str, salts: int = SALTS) -> DataFrame:
-    """Join tokens to a table of unique words of any size, without hot partitions."""
-    salt = F.pmod(F.xxhash64("doc_id", "pos"), F.lit(salts)).cast("int")
-    left = tokens.withColumn("salt", salt)
-    right = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    right = right.withColumnRenamed(word, "token")
-    return left.join(right, ["token", "salt"], how).drop("salt")
+def frequent_words(df: DataFrame, tokens: str, partitions: int) -> dict[str, int]:
+    """Salts of the words that would fill a good part of a partition, by the first texts.
+
+    Shares add up to 1, so there are at most ``SALTS_PER_PARTITION * partitions`` such words.
+    """
+    counts = word_counts(df.select(tokens).limit(PROBE_TEXTS), tokens)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = counts.filter(F.col("n") * SALTS_PER_PARTITION * partitions > total).collect()
+    return {r["word"]: -(-r["n"] * SALTS_PER_PARTITION * partitions // total) for r in hot}
+
+
+def join_by_word(df: DataFrame, table: DataFrame, word: str, how: str, tokens: str = "tokens") -> DataFrame:
+    """Token rows ``(doc_id, pos, token)`` of the texts, joined to a table of unique words of any size."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salts = LiteralMap(frequent_words(df, tokens, partitions), "int")
+    of_word = lambda c: F.coalesce(salts.get(c), F.lit(1))
+    left = explode_tokens(df, tokens)
+    left = left.withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), of_word(F.col("token"))).cast("int"))
+    right = table.withColumn("salt", F.explode(F.sequence(F.lit(0), of_word(F.col(word)) - 1)))
+    return left.join(right.withColumnRenamed(word, "token"), ["token", "salt"], how).drop("salt")
 
 
 def _regroup(df: DataFrame, long: DataFrame, tokens: str, id_col: str) -> DataFrame:
     """Puts token rows back into each text, in order; texts left without any get an empty array."""
     words = long.groupBy(F.col("doc_id").alias(id_col)).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("_tokens")
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("_tokens")
     )
     joined = df.join(words, id_col, "left")
     return joined.withColumn(tokens, F.coalesce("_tokens", F.array().cast("array<string>"))).drop("_tokens")
@@ -48,8 +65,8 @@ def map_tokens_by_join(
     df: DataFrame, tokens: str, table: DataFrame, word: str, value: str, id_col: str = "doc_id"
 ) -> DataFrame:
     """``map_tokens`` for a table of any size."""
-    long = explode_tokens(df.withColumnRenamed(id_col, "doc_id"), tokens)
-    hit = join_by_word(long, table.select(word, F.col(value).alias("_value")), word, "left")
+    texts = df.select(F.col(id_col).alias("doc_id"), tokens)
+    hit = join_by_word(texts, table.select(word, F.col(value).alias("_value")), word, "left", tokens)
     long = hit.select("doc_id", "pos", F.coalesce("_value", "token").alias("token"))
     return _regroup(df, long, tokens, id_col)
 
@@ -69,9 +86,9 @@ def drop_tokens_by_join(
     df: DataFrame, tokens: str, table: DataFrame, word: str = "word", min_len: int = 1, id_col: str = "doc_id"
 ) -> DataFrame:
     """``drop_tokens`` for a table of any size."""
-    long = explode_tokens(df.withColumnRenamed(id_col, "doc_id"), tokens)
-    long = long.filter(F.char_length("token") >= min_len)
-    long = join_by_word(long, table.select(word).distinct(), word, "left_anti")
+    long_enough = F.filter(tokens, lambda x: F.char_length(x) >= min_len).alias(tokens)
+    texts = df.select(F.col(id_col).alias("doc_id"), long_enough)
+    long = join_by_word(texts, table.select(word).distinct(), word, "left_anti", tokens)
     return _regroup(df, long, tokens, id_col)
 
 

@@ -1,4 +1,4 @@
-"""Language identification: naive Bayes over character n-grams, as joins and sums."""
+"""Language identification: naive Bayes over the character n-grams of words, as joins and sums."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidesift.functions.text import case_fold, filter_text
-from tidesift.operators.joins import SALTS
+from tidesift.functions.text import case_fold, filter_text, tokenize
+from tidesift.operators.joins import word_counts
 from tidesift.sources.scratch import stage
 
 MAX_LANGUAGES = 100
@@ -26,21 +26,27 @@ class LanguageProfiles:
     grams: DataFrame
 
 
-def gram_rows(df: DataFrame, keep: list[str], text: str = "text", cleaned: bool = False) -> DataFrame:
-    """One row per character n-gram of the whole cleaned text."""
+def word_grams(word: Column) -> Column:
+    """The n-grams of a word with a blank on both sides; a blank marks where words begin and end."""
+    padded = F.concat(F.lit(" "), word, F.lit(" "))
+    last = F.char_length(word) + 2 - GRAM
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(padded, i + 1, F.lit(GRAM)))
+
+
+def _words(df: DataFrame, keep: str, text: str, cleaned: bool) -> DataFrame:
+    """How often each word of the whole cleaned text occurs per value of ``keep``."""
     clean = F.col(text) if cleaned else case_fold(filter_text(F.col(text)))
-    chars = df.select(*keep, F.split(clean, F.lit("")).alias("_chars"))
-    chars = chars.filter(F.size("_chars") >= GRAM)
-    gram = F.transform(
-        F.sequence(F.lit(0), F.size("_chars") - GRAM),
-        lambda i: F.concat(*[F.get("_chars", i + k) for k in range(GRAM)]),
-    )
-    return chars.select(*keep, F.explode(gram).alias("gram"))
+    return word_counts(df.select(F.col(keep), clean.alias("_clean")), tokenize(F.col("_clean"), squeezed=True), (keep,))
 
 
 def gram_counts(df: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
-    """Occurrences of each n-gram in each language."""
-    return gram_rows(df, [lang], text).groupBy(F.col(lang).alias("lang"), "gram").agg(F.count("*").alias("n"))
+    """Occurrences of each n-gram in each language.
+
+    Words are counted first, so each different word is cut up once per language.
+    """
+    words = _words(df, lang, text, False)
+    grams = words.select(F.col(lang).alias("lang"), "n", F.explode(word_grams(F.col("word"))).alias("gram"))
+    return grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def train_profiles(df: DataFrame, lang: str = "lang", text: str = "text") -> LanguageProfiles:
@@ -76,21 +82,25 @@ def train_profiles(df: DataFrame, lang: str = "lang", text: str = "text") -> Lan
 def ngram_language_id(
     df: DataFrame, profiles: LanguageProfiles, text: str = "text", id_col: str = "doc_id", cleaned: bool = False
 ) -> DataFrame:
-    """``(id, lang_pred, score)`` of each text with at least one n-gram.
+    """``(id, lang_pred, score)`` of each text with at least one word.
 
-    Ties go to the language first in alphabetical order. All n-grams of a text
-    lie in one task, so only one row per text is shuffled when the profiles are
-    small enough to broadcast; larger ones are joined by salted n-gram.
+    Ties go to the language first in alphabetical order. All words of a text lie
+    in one task, so only one row per text is shuffled when the profiles are small
+    enough to broadcast; larger ones are joined by salted n-gram.
     """
-    rows = gram_rows(df, [id_col], text, cleaned)
+    clean = F.col(text) if cleaned else case_fold(filter_text(F.col(text)))
+    words = df.select(F.col(id_col), tokenize(clean, squeezed=True).alias("_words"))
+    rows = words.select(id_col, F.explode("_words").alias("_word"))
+    rows = rows.select(id_col, F.explode(word_grams(F.col("_word"))).alias("gram"))
     if profiles.grams.limit(MAX_BROADCAST_GRAMS + 1).count() <= MAX_BROADCAST_GRAMS:
         hits = rows.join(F.broadcast(profiles.grams), "gram", "left")
     else:
         # Counting per text and n-gram first keeps the shuffle by n-gram small;
         # the salt comes from the text, so a frequent n-gram meets many tasks.
         rows = rows.groupBy(id_col, "gram").agg(F.count("*").alias("_n"))
-        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
-        table = profiles.grams.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int"))
+        table = profiles.grams.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         hits = salted.join(table, ["gram", "_salt"], "left")
     times = F.col("_n") if "_n" in hits.columns else F.lit(1)
     sums = hits.groupBy(id_col).agg(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from tidesift.functions.lookup import LiteralMap, LiteralSet, small_map
+from tidesift.functions.once import compute_once
 from tidesift.functions.text import tokenize
 from tidesift.operators.joins import explode_tokens, join_by_word
 from tidesift.sources.local import local_frame
@@ -108,7 +109,7 @@ def lexicon_score(
     if weights is None:
         return lexicon_score_by_join(df, lexicon, negations, text, id_col, score)
     words = LiteralSet(negations) if negations else None
-    return df.withColumn(score, _score_expression(tokenize(F.col(text)), weights, words))
+    return compute_once(df, {score: _score_expression(tokenize(F.col(text)), weights, words)})
 
 
 def lexicon_score_by_join(
@@ -131,10 +132,8 @@ def lexicon_score_by_join(
         table = table.join(F.broadcast(flags), "word", "left_anti").unionByName(
             flags.withColumn("weight", F.lit(None).cast("long"))
         )
-    tokens = explode_tokens(
-        df.select(F.col(id_col).alias("doc_id"), tokenize(F.col(text)).alias("tokens")), "tokens"
-    )
-    hits = join_by_word(tokens, table, "word", "inner")
+    texts = df.select(F.col(id_col).alias("doc_id"), tokenize(F.col(text)).alias("tokens"))
+    hits = join_by_word(texts, table, "word", "inner")
     if negations:
         flip = F.lag(F.col("weight").isNull(), 1, False).over(Window.partitionBy("doc_id").orderBy("pos"))
         hits = hits.withColumn("weight", F.when(flip, -F.col("weight")).otherwise(F.col("weight")))

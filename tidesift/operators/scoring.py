@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidesift.functions.once import compute_once
 from tidesift.functions.text import is_blank
 from tidesift.operators.lexicon import CLASSES, NEUTRAL, lexicon_score, pseudo_proba
 from tidesift.operators.preprocess import TextTables, preprocess, preprocess_for_scoring
@@ -35,9 +36,9 @@ def _finish(
 ) -> DataFrame:
     """Prediction columns; an empty processed text gets the empty result, and no row is dropped."""
     names = {c: f"_p_{c}" for c in CLASSES}
-    staged = df.withColumns({names[c]: probs[c] for c in CLASSES})
-    columns = {c: F.col(names[c]) for c in CLASSES}
-    empty = is_blank(F.col(text)) | is_blank(F.col(processed))
+    blank = is_blank(F.col(text)) | is_blank(F.col(processed))
+    staged = compute_once(df, {names[c]: probs[c] for c in CLASSES} | {"_empty": blank})
+    columns, empty = {c: F.col(names[c]) for c in CLASSES}, F.col("_empty")
     shown = lambda c: F.when(empty, F.lit(0.0)).otherwise(F.round(c, DIGITS))
     return staged.select(
         id_col,

@@ -28,9 +28,9 @@ def _fit(spark: SparkSession, sf: str, kind: str = "random-forest") -> tuple[pl.
     rows, classes = ft.encode_labels(rows)
     tfidf = ft.TfidfModel.of(ft.fit_tfidf(rows, text, max_features=TERMS))
     fitted = pl.FittedClassifier(kind, None, tfidf, classes, text)
-    vectors = fitted.vectors(ft.add_class_weights(rows))
+    vectors = fitted.training_vectors(ft.add_class_weights(rows))
     fit = models.fit_weighted_softmax if kind == "softmax" else lambda df: models.fit_forest(df, **FOREST)
-    fitted.model = fit(vectors.select("features", "label_idx", "weight"))
+    fitted.model = fit(vectors)
     return fitted, rows
 
 
@@ -127,6 +127,6 @@ def sample_param_grid(spark: SparkSession, sf: str) -> DataFrame:
     fitted, rows = _fit(spark, sf)
     combo = sampling.sample_param_grid(SPACE, 1)
     train = sampling.stratified_folds(ft.add_class_weights(rows), 2)
-    vectors = stage(fitted.vectors(train).select("features", "label_idx", "weight", "fold"), "vectors")
+    vectors = fitted.training_vectors(train)
     _, board = models.tune_forest(vectors, len(fitted.classes), SPACE, len(combo), 2)
     return board

@@ -15,7 +15,7 @@ from tidesift.plans.catalog.base import (
     query, sql_argmax, sql_filter_text, sql_label, sql_proba, sql_score_cte, sql_token_ctes, table, tables,
 )
 from tidesift.sources import files
-from tidesift.sources.scratch import scratch_path
+from tidesift.sources.scratch import scratch_path, stage
 
 CSV_OUT = {"header": True, "escape": '"', "quoteAll": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
@@ -276,17 +276,15 @@ def language_heuristic(spark: SparkSession, sf: str) -> DataFrame:
     return light_tokens(spark, sf).select("doc_id", pp.language_heuristic(F.col("tokens"), base.STRONG).alias("keep"))
 
 
-_SQL_LANGID = """chars AS (SELECT d.doc_id, d.lang, string_split(d.folded, '') AS c FROM docs d),
-grams AS (
-  SELECT doc_id, lang, c[i] || c[i + 1] || c[i + 2] AS gram
-  FROM (SELECT doc_id, lang, c, unnest(generate_series(1, len(c) - 2)) AS i FROM chars WHERE len(c) >= 3)),
-gram_n AS (SELECT lang, gram, count(*) AS n FROM grams GROUP BY lang, gram),
+_SQL_LANGID = """word_n AS (SELECT w.doc_id, d.lang, ' ' || w.w || ' ' AS p, count(*) AS n FROM words w JOIN docs d USING (doc_id) GROUP BY ALL),
+grams AS (SELECT doc_id, lang, n, substr(p, i, 3) AS gram FROM (SELECT *, unnest(generate_series(1, length(p) - 2)) AS i FROM word_n)),
+gram_n AS (SELECT lang, gram, sum(n) AS n FROM grams GROUP BY lang, gram),
 lang_n AS (SELECT lang, sum(n) AS total FROM gram_n GROUP BY lang),
 vocab AS (SELECT DISTINCT gram FROM gram_n),
 logp AS (
   SELECT l.lang, v.gram, round(ln((coalesce(g.n, 0) + 1)::DOUBLE / (l.total + (SELECT count(*) FROM vocab))::DOUBLE) * 1000000)::BIGINT AS s
   FROM lang_n l CROSS JOIN vocab v LEFT JOIN gram_n g ON g.lang = l.lang AND g.gram = v.gram),
-doc_grams AS (SELECT doc_id, gram, count(*) AS n FROM grams GROUP BY doc_id, gram),
+doc_grams AS (SELECT doc_id, gram, sum(n) AS n FROM grams GROUP BY doc_id, gram),
 lang_scores AS (
   SELECT d.doc_id, p.lang, sum(d.n * p.s)::BIGINT AS score FROM doc_grams d JOIN logp p USING (gram) GROUP BY d.doc_id, p.lang),
 lang_pred AS (
@@ -375,7 +373,7 @@ changed AS (
 SELECT word, stem FROM changed WHERE word <> stem
 """)
 def stem_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    vocabulary = joins.word_counts(light_tokens(spark, sf), "tokens")
+    vocabulary = stage(joins.word_counts(light_tokens(spark, sf), "tokens"), "vocabulary")
     roots = vocabulary.filter(F.char_length("word").between(3, 5)).select("word")
     return stems.build_stems(vocabulary, roots, RULES, tables(spark).stems)
 

@@ -52,16 +52,21 @@ class FittedClassifier:
     classes: list[str]
     text: str
 
-    def vectors(self, df: DataFrame) -> DataFrame:
-        """Adds ``features``. Light texts are capped for the model only."""
+    def weighed(self, df: DataFrame) -> DataFrame:
+        """Adds ``tfidf``. Light texts are capped for the model only."""
         source = self.text
         if source == "light_text":
             df, source = truncate_tokens(df.withColumn("_capped", F.col(source)), "_capped", MAX_TOKENS), "_capped"
-        out = features.assemble_vectors(self.tfidf.transform(df, source), self.tfidf.size)
-        return out.drop("tfidf", "_capped")
+        return self.tfidf.transform(df, source).drop("_capped")
+
+    def training_vectors(self, df: DataFrame) -> DataFrame:
+        """``features``, ``label_idx``, ``weight`` and, if there is one, ``fold``: written once, read by every pass."""
+        keep = [c for c in ("label_idx", "weight", "fold") if c in df.columns]
+        return features.stage_vectors(self.weighed(df).select(*keep, "tfidf"), self.tfidf.size, "vectors")
 
     def proba(self, df: DataFrame) -> DataFrame:
-        return models.predict_proba(self.model, self.vectors(df), self.classes).drop("features")
+        vectors = features.assemble_vectors(self.weighed(df), self.tfidf.size).drop("tfidf")
+        return models.predict_proba(self.model, vectors, self.classes).drop("features")
 
     def predict(self, df: DataFrame) -> DataFrame:
         """Adds ``predicted``, the class name."""
@@ -165,7 +170,7 @@ def train(labelled: DataFrame, options: TrainOptions | None = None, id_col: str
     train_rows = features.add_class_weights(rows.filter("split = 'train'"))
     if options.tune:
         train_rows = sampling.stratified_folds(train_rows, options.folds, "doc_id", "label", options.seed)
-    vectors = stage(fitted.vectors(train_rows).select("features", "label_idx", "weight", *(["fold"] if options.tune else [])), "vectors")
+    vectors = fitted.training_vectors(train_rows)
 
     reports: dict[str, DataFrame] = {}
     summaries: dict[str, DataFrame] = {}

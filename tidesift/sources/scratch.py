@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _local_root: str | None = None
 
@@ -30,12 +31,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/tidesift/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:
     """Write a table once and read it back: later branches start from its columns.
 
     Unlike a cache it outlives the executors that made it, and a reader of two
-    columns reads two columns.
+    columns reads two columns. ``schema`` reads it back under other types of the
+    same layout.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
