@@ -91,9 +91,9 @@ def case_fold(c: Column) -> Column:
 def tokenize(c: Column, squeezed: bool = False) -> Column:
     """Words between blanks; an empty text gives an empty array.
 
-    ``squeezed`` says that the text already has single blanks only.
+    ``squeezed`` says that the text has no other blanks than spaces.
     """
-    return F.array_remove(F.split(c if squeezed else squeeze_spaces(c), F.lit(" ")), F.lit(""))
+    return F.array_remove(F.split(c, F.lit(" " if squeezed else SPACES)), F.lit(""))
 
 
 def is_blank(c: Column) -> Column:

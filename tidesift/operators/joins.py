@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidesift.functions.lookup import LiteralMap, small_map, small_set
 
-PROBE_TEXTS = 5000
+PROBE_TEXTS = 500
 # Salts per average partition's worth of tokens.
 SALTS_PER_PARTITION = 4
 

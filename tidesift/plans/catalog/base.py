@@ -82,7 +82,7 @@ def table(spark: SparkSession, sf: str, name: str, spread_by: str | None = None)
 
 def event_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Events with the text of the document of the same number, null where there is none."""
-    events = table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), "ts")
+    events = table(spark, sf, "events", "event_id").select(F.col("event_id").alias("doc_id"), "ts")
     return events.join(documents(spark, sf, "doc_id", "lang", "text"), "doc_id", "left")
 
 
