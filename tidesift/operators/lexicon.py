@@ -126,7 +126,8 @@ def lexicon_score_by_join(
     of the same text decides on the sign. Texts without a hit score 0.
     """
     spark = df.sparkSession
-    table = lexicon.select("word", F.col("weight").cast("long").alias("weight"))
+    # A word of weight 0 must not stand between a negation and the word it turns.
+    table = lexicon.filter(F.col("weight") != 0).select("word", F.col("weight").cast("long").alias("weight"))
     if negations:
         flags = local_frame(spark, [(w,) for w in sorted(set(negations))], "word string")
         table = table.join(F.broadcast(flags), "word", "left_anti").unionByName(
