@@ -93,7 +93,7 @@ def test_large_profiles_give_the_same(rows, monkeypatch):
     profiles = train_profiles(rows([("x", "aaa bbb abab"), ("y", "ccc ddd cdcd")], "lang string, text string"))
     df = rows([(i, t) for i, t in enumerate(["aaa cdc ccc", "abab bbb", "dddd aaa"])], "doc_id int, text string")
     small = sorted(map(tuple, ngram_language_id(df, profiles).collect()))
-    monkeypatch.setattr(langid, "MAX_BROADCAST_GRAMS", 1)
+    monkeypatch.setattr(langid, "MAX_BROADCAST_SCORES", 2)
     assert sorted(map(tuple, ngram_language_id(df, profiles).collect())) == small
 
 

@@ -41,7 +41,8 @@ def join_by_word(df: DataFrame, table: DataFrame, word: str, how: str, tokens: s
     left = explode_tokens(df, tokens)
     left = left.withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), of_word(F.col("token"))).cast("int"))
     right = table.withColumn("salt", F.explode(F.sequence(F.lit(0), of_word(F.col(word)) - 1)))
-    return left.join(right.withColumnRenamed(word, "token"), ["token", "salt"], how).drop("salt")
+    # Spark guesses the size of the tokens from that of the files, and might broadcast them.
+    return left.join(right.withColumnRenamed(word, "token").hint("merge"), ["token", "salt"], how).drop("salt")
 
 
 def _regroup(df: DataFrame, long: DataFrame, tokens: str, id_col: str) -> DataFrame:

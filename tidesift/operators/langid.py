@@ -11,7 +11,8 @@ from tidesift.operators.joins import word_counts
 from tidesift.sources.scratch import stage
 
 MAX_LANGUAGES = 100
-MAX_BROADCAST_GRAMS = 200_000
+# Scores (n-grams times languages) that may be broadcast: some 30 MB.
+MAX_BROADCAST_SCORES = 2_000_000
 GRAM = 3
 # Log probabilities are held in whole millionths, so sums do not depend on order.
 SCALE = 1_000_000
@@ -92,7 +93,8 @@ def ngram_language_id(
     words = df.select(F.col(id_col), tokenize(clean, squeezed=True).alias("_words"))
     rows = words.select(id_col, F.explode("_words").alias("_word"))
     rows = rows.select(id_col, F.explode(word_grams(F.col("_word"))).alias("gram"))
-    if profiles.grams.limit(MAX_BROADCAST_GRAMS + 1).count() <= MAX_BROADCAST_GRAMS:
+    bound = MAX_BROADCAST_SCORES // len(profiles.languages)
+    if profiles.grams.limit(bound + 1).count() <= bound:
         hits = rows.join(F.broadcast(profiles.grams), "gram", "left")
     else:
         # Counting per text and n-gram first keeps the shuffle by n-gram small;

@@ -133,7 +133,8 @@ def lexicon_score_by_join(
         table = table.join(F.broadcast(flags), "word", "left_anti").unionByName(
             flags.withColumn("weight", F.lit(None).cast("long"))
         )
-    texts = df.select(F.col(id_col).alias("doc_id"), tokenize(F.col(text)).alias("tokens"))
+    texts = df.select(F.col(id_col).alias("doc_id"), F.col(text).alias("_text"))
+    texts = compute_once(texts, {"tokens": tokenize(F.col("_text"))}).drop("_text")
     hits = join_by_word(texts, table, "word", "inner")
     if negations:
         flip = F.lag(F.col("weight").isNull(), 1, False).over(Window.partitionBy("doc_id").orderBy("pos"))

@@ -143,7 +143,8 @@ def resample_classes(
     new key. Draws are generated in parallel, meet the narrow ranked ids, and
     only then fetch the rows. The rows of a small class are drawn again and
     again, so they are copied under as many salts as their draws need: at most
-    one copy per ``DRAWS_PER_SALT`` draws on top of the rows themselves.
+    one copy per ``DRAWS_PER_SALT`` draws on top of the rows themselves. The
+    table is read several times: pass one that was written before.
     """
     sizes = class_counts(df, label)
     plan = targets.select(label, "target").limit(MAX_CLASSES + 1).collect()
