@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidesift.functions.lookup import LiteralMap, small_map, small_set
+from tidesift.functions.once import compute_once
 
 PROBE_TEXTS = 500
 # Salts per average partition's worth of tokens.
@@ -19,7 +20,9 @@ SALTS_PER_PARTITION = 4
 
 def explode_tokens(df: DataFrame, tokens: str = "tokens", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per token: the kept columns, ``pos`` from 0, and ``token``."""
-    return df.select(*keep, F.posexplode(tokens).alias("pos", "token"))
+    # Catalyst drops empty arrays before it explodes a column: by a filter that would make the column again.
+    once = compute_once(df.select(*keep, tokens), {tokens: F.col(tokens)})
+    return once.select(*keep, F.posexplode(tokens).alias("pos", "token"))
 
 
 def frequent_words(df: DataFrame, tokens: str, partitions: int) -> dict[str, int]:
@@ -95,5 +98,6 @@ def drop_tokens_by_join(
 
 def word_counts(df: DataFrame, tokens: Column | str, by: tuple[str, ...] = ()) -> DataFrame:
     """How often each word occurs, in all texts or per group; counted before the shuffle."""
-    words = df.select(*by, F.explode(tokens).alias("word"))
+    once = compute_once(df, {"_words": F.col(tokens) if isinstance(tokens, str) else tokens})
+    words = once.select(*by, F.explode("_words").alias("word"))
     return words.groupBy(*by, "word").agg(F.count("*").alias("n"))

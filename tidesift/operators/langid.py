@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidesift.functions.text import case_fold, filter_text, tokenize
-from tidesift.operators.joins import word_counts
+from tidesift.operators.joins import explode_tokens, word_counts
 from tidesift.sources.scratch import stage
 
 MAX_LANGUAGES = 100
@@ -30,8 +30,8 @@ class LanguageProfiles:
 def word_grams(word: Column) -> Column:
     """The n-grams of a word with a blank on both sides; a blank marks where words begin and end."""
     padded = F.concat(F.lit(" "), word, F.lit(" "))
-    last = F.char_length(word) + 2 - GRAM
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(padded, i + 1, F.lit(GRAM)))
+    # Looks ahead by a whole n-gram, then takes one character.
+    return F.regexp_extract_all(padded, F.lit(f"(?=(.{{{GRAM}}}))."), F.lit(1))
 
 
 def _words(df: DataFrame, keep: str, text: str, cleaned: bool) -> DataFrame:
@@ -90,24 +90,25 @@ def ngram_language_id(
     enough to broadcast; larger ones are joined by salted n-gram.
     """
     clean = F.col(text) if cleaned else case_fold(filter_text(F.col(text)))
-    words = df.select(F.col(id_col), tokenize(clean, squeezed=True).alias("_words"))
-    rows = words.select(id_col, F.explode("_words").alias("_word"))
-    rows = rows.select(id_col, F.explode(word_grams(F.col("_word"))).alias("gram"))
+    words = explode_tokens(df.select(id_col, tokenize(clean, squeezed=True).alias("_words")), "_words", (id_col,))
+    rows = words.select(id_col, F.explode(word_grams(F.col("token"))).alias("gram"))
     bound = MAX_BROADCAST_SCORES // len(profiles.languages)
+    columns = [F.coalesce(F.get("scores", F.lit(k)), F.lit(u)).alias(f"_s{k}") for k, u in enumerate(profiles.unseen)]
+    scores = profiles.grams.select("gram", *columns)
     if profiles.grams.limit(bound + 1).count() <= bound:
-        hits = rows.join(F.broadcast(profiles.grams), "gram", "left")
+        hits = rows.join(F.broadcast(scores), "gram", "left")
     else:
         # Counting per text and n-gram first keeps the shuffle by n-gram small;
         # the salt comes from the text, so a frequent n-gram meets many tasks.
         rows = rows.groupBy(id_col, "gram").agg(F.count("*").alias("_n"))
         salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         salted = rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int"))
-        table = profiles.grams.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        table = scores.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         hits = salted.join(table, ["gram", "_salt"], "left")
     times = F.col("_n") if "_n" in hits.columns else F.lit(1)
     sums = hits.groupBy(id_col).agg(
         *[
-            F.sum(F.coalesce(F.get("scores", F.lit(k)), F.lit(u)) * times).alias(f"_s{k}")
+            F.sum(F.coalesce(f"_s{k}", F.lit(u)) * times).alias(f"_s{k}")
             for k, u in enumerate(profiles.unseen)
         ]
     )

@@ -20,8 +20,7 @@ def _list_of(spark: SparkSession, sf: str, flag: str, sign: int) -> DataFrame:
     """Words of the texts that carry a flag, weighted by the number of such texts, 5 at most."""
     marked = table(spark, sf, "labels").filter(F.col(flag) == 1).select("doc_id")
     words = light_tokens(spark, sf).join(marked, "doc_id", "left_semi")
-    words = words.select(F.explode(F.array_distinct("tokens")).alias("word"))
-    counts = words.groupBy("word").agg(F.count("*").alias("n"))
+    counts = joins.word_counts(words, F.array_distinct("tokens"))
     return counts.select("word", (F.least("n", F.lit(5)) * sign).cast("int").alias("weight"))
 
 
@@ -36,8 +35,7 @@ def negative_list(spark: SparkSession, sf: str) -> DataFrame:
 def override_list(spark: SparkSession, sf: str) -> DataFrame:
     """Words of the benchmark texts; those in three of them become neutral."""
     folded = tx.case_fold(tx.filter_text(F.col("text")))
-    words = table(spark, sf, "benchmark").select(F.explode(F.array_distinct(tx.tokenize(folded, squeezed=True))).alias("word"))
-    counts = words.groupBy("word").agg(F.count("*").alias("n"))
+    counts = joins.word_counts(table(spark, sf, "benchmark"), F.array_distinct(tx.tokenize(folded, squeezed=True)))
     return counts.select("word", (F.least("n", F.lit(6)) - 3).cast("int").alias("weight"))
 
 
