@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidesift.llm import labelled, langid_cnn, quality, toxicity
+from tidesift.llm import labelled, langid_cnn, quality, sentencepiece_table, token_files, toxicity
 from tidesift.llm.labelled import held_out
+from tidesift.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,3 +60,23 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     model = fit_quality(docs, table(spark, sf, "labels"))
     scored = quality.score(docs.select("doc_id", held_out().alias("held_out"), "text"), model, "text").drop("text")
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op6_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    coded = sentencepiece_table.encode(docs, "text", public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    docs = table(spark, sf, "documents")
+    token_files.write(docs, path, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_files.read(spark, path, token_files.id_checksums, "ids_crc32 long")
