@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidesift.llm import labelled, langid_cnn, quality, sentencepiece_table, token_files, toxicity
+from tidesift.llm import jaccard_tree, labelled, langid_cnn, quality, sentencepiece_table, token_files, toxicity
 from tidesift.llm.labelled import held_out
 from tidesift.sources.scratch import scratch_path
 
@@ -80,3 +80,9 @@ def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     token_files.write(docs, path, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return token_files.read(spark, path, token_files.id_checksums, "ids_crc32 long")
+
+
+@query
+def op8_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    joined = jaccard_tree.join(table(spark, sf, "documents"), "doc_id", "text", jaccard_tree.Rule(words=4, percent=85))
+    return joined.select("doc_id", F.col("size").alias("n_shingles"), F.col("component").alias("component_id"))
