@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidesift.llm import jaccard_tree, labelled, langid_cnn, quality, sentencepiece_table, token_files, toxicity
+from tidesift.llm import (
+    decontaminate, jaccard_tree, labelled, langid_cnn, nearest, quality, render, sentencepiece_table, token_files, toxicity, warc,
+)
 from tidesift.llm.labelled import held_out
 from tidesift.sources.scratch import scratch_path
 
@@ -38,6 +40,28 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> quality.Model:
     return quality.fit(rows, "text", "label", share)
 
 
+@query
+def op1_warc(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(table(spark, sf, "pages"), path)
+    read = warc.read(spark, path, payload=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op1_warc"] = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+),
+firsts AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS largest FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN largest END AS refers_to
+FROM firsts
+"""
+
+
 @query
 def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
@@ -45,6 +69,11 @@ def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid_cnn.predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model, "text").drop("text")
 
 
+@query
+def op3_render(spark: SparkSession, sf: str) -> DataFrame:
+    return render.extract(table(spark, sf, "pages").select("page_id", "html"), "html", "text").drop("html")
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
@@ -54,6 +83,29 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def leaks(docs: DataFrame, items: DataFrame, out: str = "leaks") -> DataFrame:
+    """Documents with the benchmark items they hold; an item's last sentence counts as its answer."""
+    return decontaminate.find(docs, "text", decontaminate.split_answer(items, "text"), "item_id", "question", "answer", out)
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = leaks(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+    found = found.select("doc_id", F.explode("leaks").alias("leak"))
+    return found.select(
+        "doc_id",
+        F.col("leak.item").alias("item_id"),
+        "leak.score",
+        F.col("leak.question").alias("question_overlap"),
+        F.col("leak.answer").alias("answer_overlap"),
+    )
+
+
+@query
+def op9_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0)
+
+
 @query
 def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
