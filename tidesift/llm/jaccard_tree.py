@@ -28,6 +28,8 @@ from tidesift.sources.scratch import stage
 SIGNATURE, COUNTERS, FILTER = 1024, 1 << 20, 1 << 22
 #: Classes in a leaf, children of a node, most classes of a cell in one task, and pairs compared at a time.
 LEAF, FAN, BLOCK, STEP = 16, 8, 4096, 1 << 16
+#: Partners of a class whose sets are compared in one task.
+SLOT = 64
 
 
 @dataclass(frozen=True)
@@ -311,47 +313,62 @@ def _id_filter(ids: DataFrame) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, rule: Rule) -> DataFrame:
-    """The pairs of classes whose whole sets are similar enough, with their overlap."""
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = stage(classes.select("id", "print", F.col("sample").alias("doc_id")).join(ends, "id"), "ends")
+    """The pairs of classes whose whole sets are similar enough, with their overlap.
+
+    The first class of a pair is a hub: the sets of its partners are sent to it, and its own once per slot of them.
+    """
+    hubs = pairs.groupBy("a").agg(F.ceil(F.count("*") / SLOT).cast("int").alias("slots"))
+    partners = pairs.join(hubs, "a").select(
+        F.col("b").alias("id"), F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), F.col("slots")).cast("int").alias("slot")
+    )
+    own = hubs.select(F.col("a").alias("id"), F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"))
+    sent = classes.select("id", "print", F.col("sample").alias("doc_id")).join(partners.unionAll(own), "id")
+    wanted = stage(sent, "sent")
     filter_bits = docs.sparkSession.sparkContext.broadcast(_id_filter(wanted.select("doc_id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = filter_bits.value
+        seen = set()  # repeated rows go on once a task
         for batch in batches:
             place = batch.column("place").to_numpy()
             known = (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1)
             for piece in pieces(batch.filter(pa.array(known.astype(bool))), "text"):
                 grams, counts = sets(piece.column("text"), rule.words)
-                yield pa.RecordBatch.from_arrays(
+                made = pa.RecordBatch.from_arrays(
                     [piece.column("doc_id"), fingerprints(grams, counts), binaries(grams, counts).cast(pa.binary())],
                     names=["doc_id", "print", "grams"],
                 )
+                keys = list(zip(made.column(0).to_pylist(), made.column(1).to_pylist(), strict=True))
+                new = [k not in seen and not seen.add(k) for k in keys]
+                yield made.filter(pa.array(new, pa.bool_()))
 
     place = F.pmod(F.xxhash64(F.col(doc_id)), F.lit(FILTER)).alias("place")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), place)
     kind = rows.schema["doc_id"].dataType.simpleString()
     grams = rows.mapInArrow(run, f"doc_id {kind}, print binary, grams binary")
     same = grams["doc_id"].eqNullSafe(wanted["doc_id"])
-    grams = wanted.join(grams, (wanted["print"] == grams["print"]) & same).select("id", "grams").dropDuplicates(["id"])
-    grams = stage(grams, "sets")
+    met = wanted.join(grams, (wanted["print"] == grams["print"]) & same)
+    met = met.select("hub", "slot", (F.col("id") != F.col("hub")).alias("partner"), "id", "grams")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, set_of_hub = None, np.zeros(0, np.uint64)  # the hub's own row comes first
         for batch in batches:
             found = []
-            for a, b in zip(batch.column("left"), batch.column("right"), strict=True):
-                a, b = (np.frombuffer(x.as_buffer(), np.uint64) for x in (a, b))
-                both = np.concatenate((a, b))
-                both.sort()
-                found.append((len(a), len(b), int((both[1:] == both[:-1]).sum())))
-            na, nb, shared = (np.array(x, np.int64) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
-            keep = pa.array(shared >= rule.overlap(na, nb))
-            made = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(shared)], names=["a", "b", "shared"])
-            yield made.filter(keep)
-
-    sides = pairs.join(grams.select(F.col("id").alias("a"), F.col("grams").alias("left")), "a")
-    sides = sides.join(grams.select(F.col("id").alias("b"), F.col("grams").alias("right")), "b")
-    return sides.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long, shared long")
+            keys = zip(*(batch.column(c).to_pylist() for c in ("hub", "id")), strict=True)
+            for (at, other), content in zip(keys, batch.column("grams"), strict=True):
+                own = np.frombuffer(content.as_buffer(), np.uint64)
+                if at == other:
+                    hub, set_of_hub = at, own
+                elif at == hub:
+                    both = np.concatenate((set_of_hub, own))
+                    both.sort()
+                    found.append((at, other, len(set_of_hub), len(own), int((both[1:] == both[:-1]).sum())))
+            a, b, na, nb, shared = np.array(found, np.int64).reshape(-1, 5).T
+            made = pa.RecordBatch.from_arrays([pa.array(x) for x in (a, b, shared)], names=["a", "b", "shared"])
+            yield made.filter(pa.array(shared >= rule.overlap(na, nb)))
+
+    met = met.repartition("hub", "slot").sortWithinPartitions("hub", "slot", "partner", "id")
+    return met.mapInArrow(compare, "a long, b long, shared long").distinct()
 
 
 def join(docs: DataFrame, doc_id: str, text: str, rule: Rule = Rule()) -> DataFrame:
@@ -372,7 +389,8 @@ def join(docs: DataFrame, doc_id: str, text: str, rule: Rule = Rule()) -> DataFr
     )
     classes = stage(classes, "classes")
 
-    members = classes.select(F.explode("prefix").alias("token"), "id")
+    # dealt by token once, for the counts and for the join with them
+    members = classes.select(F.explode("prefix").alias("token"), "id").repartition("token")
     found = members.groupBy("token").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")
     )
