@@ -144,3 +144,29 @@ def test_jaccard_join_against_brute_force(rows):
                     root[max(find(a), find(b))] = min(find(a), find(b))
         got = {r.doc_id: (r["size"], r.component) for r in jaccard_tree.join(rows(docs, "doc_id long, text string"), "doc_id", "text", rule).collect()}
         assert got == {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def test_bins_bound_the_overlap_of_long_sets(rows):
+    """Long texts link exactly where brute force links them, and unrelated ones are dropped before sets are compared."""
+    rng = random.Random(4)
+    rule, docs = jaccard_tree.Rule(4, 85), []
+    for g in range(4):
+        base = _prose(rng, 1500 + 900 * g).split()
+        for changes in (0, 5, 40, 75, 200):
+            own = list(base)
+            for at in rng.sample(range(len(own)), changes):
+                own[at] = rng.choice(WORDS)
+            docs.append((len(docs), " ".join(own)))
+    sets = {i: _sets(t, 4) for i, t in docs}
+    alike = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    df = rows(docs, "doc_id long, text string")
+    got = {r.doc_id: r.component for r in jaccard_tree.join(df, "doc_id", "text", rule).collect()}
+    root = {i: i for i in sets}
+    for _ in sets:
+        for a, b in alike:
+            root[a] = root[b] = min(root[a], root[b])
+    assert got == root
+    classes = jaccard_tree.profiles(df, "doc_id", "text", rule).withColumnRenamed("doc_id", "id")
+    pairs = rows([(a, b, True) for a in sets for b in sets if a < b], "a long, b long, long boolean")
+    kept = {(r.a, r.b) for r in jaccard_tree.plausible(pairs, classes, rule).collect()}
+    assert alike <= kept and all(a // 5 == b // 5 for a, b in kept)

@@ -7,7 +7,9 @@
    pairs of blocks.
 3. In a cell the classes are the leaves of a signature tree, sorted by size. Inner nodes hold the OR of bitmaps and
    the range of sizes. A dual traversal drops pairs of nodes whose largest possible overlap is too small.
-4. What is left is verified on the whole sets. The first traversal pairs each class of a larger cell with one
+4. Bitmaps of long sets are nearly full. Their pairs must also pass a bound on the overlap from how many n-grams
+   fall into each of as many bins.
+5. What is left is verified on the whole sets. The first traversal pairs each class of a larger cell with one
    other; the second runs over what is still in different components, and leaves nothing out.
 """
 
@@ -113,8 +115,23 @@ def signatures(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1)
 
 
+def histograms(grams: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """How many n-grams of a set fall into each of ``SIGNATURE`` bins, 255 at most; null for sets that are not long."""
+    rows = np.repeat(np.arange(len(counts)), counts)
+    long = np.flatnonzero(counts > SIGNATURE)
+    at = np.full(len(counts), -1)
+    at[long] = np.arange(len(long))
+    keep = at[rows] >= 0
+    bins = (grams[keep] >> np.uint64(5)).astype(np.int64) % SIGNATURE
+    made = np.bincount(at[rows[keep]] * SIGNATURE + bins, minlength=len(long) * SIGNATURE).reshape(-1, SIGNATURE)
+    out: list[bytes | None] = [None] * len(counts)
+    for row, content in zip(long.tolist(), np.minimum(made, 255).astype(np.uint8), strict=True):
+        out[row] = content.tobytes()
+    return pa.array(out, pa.binary())
+
+
 def profiles(docs: DataFrame, doc_id: str, text: str, rule: Rule) -> DataFrame:
-    """``doc_id, size, print, prefix, bits`` of each row; an empty set has neither print nor prefix."""
+    """``doc_id, size, print, prefix, bits, bins`` of each row; an empty set has neither print nor prefix."""
     spark = docs.sparkSession
     levels = spark.sparkContext.broadcast(frequency_levels(docs, text, rule))
 
@@ -134,13 +151,14 @@ def profiles(docs: DataFrame, doc_id: str, text: str, rule: Rule) -> DataFrame:
                         piece.column("doc_id"), pa.array(counts), fingerprints(grams, counts),
                         pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(chosen.view(np.int64))),
                         binaries(bits.reshape(-1), np.full(len(bits), bits.shape[1])).cast(pa.binary()),
+                        histograms(grams, counts),
                     ],
-                    names=["doc_id", "size", "print", "prefix", "bits"],
+                    names=["doc_id", "size", "print", "prefix", "bits", "bins"],
                 )
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, size long, print binary, prefix array<long>, bits binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, size long, print binary, prefix array<long>, bits binary, bins binary")
 
 
 @dataclass
@@ -251,8 +269,9 @@ def _cell_pairs(rule: Rule, forest: bool):
         p, q = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, int),) * 2
         keep = (side[p] != side[q]) | (side[p] < 0)
         a, b = np.minimum(ids[p], ids[q])[keep], np.maximum(ids[p], ids[q])[keep]
-        a, b = np.unique(np.stack([a, b]), axis=1) if len(a) else (a, b)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        long = (np.minimum(size[p], size[q])[keep] > SIGNATURE).astype(np.int64)
+        a, b, long = np.unique(np.stack([a, b, long]), axis=1) if len(a) else (a, b, long)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "long": pa.array(long.astype(bool))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -278,7 +297,7 @@ def _cell_pairs(rule: Rule, forest: bool):
 
 
 def candidates(cells: DataFrame, rule: Rule, forest: bool) -> DataFrame:
-    """``(a, b)``, each once, from rows ``token, n, id, size, root, bits`` of cells with ``n`` classes."""
+    """``(a, b)``, each once, and whether both are long, from rows ``token, n, id, size, root, bits`` of cells with ``n`` classes."""
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     rows = cells.withColumn("blocks", blocks).withColumn("own", own)
@@ -291,7 +310,29 @@ def candidates(cells: DataFrame, rule: Rule, forest: bool) -> DataFrame:
         F.when(F.col("own") == F.col("other"), -1).otherwise(F.when(F.col("own") < F.col("other"), 0).otherwise(1)).alias("side"),
     )
     rows = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "size", "id")
-    return rows.mapInArrow(_cell_pairs(rule, forest), "a long, b long").distinct()
+    return rows.mapInArrow(_cell_pairs(rule, forest), "a long, b long, long boolean").distinct()
+
+
+def plausible(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs ``(a, b)`` of ``candidates`` but for those of long sets whose bins leave too small an overlap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, na, nb = (batch.column(c).to_numpy() for c in ("a", "b", "na", "nb"))
+            left, right = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SIGNATURE) for c in ("left", "right")
+            )
+            most = np.minimum(left, right).sum(1, dtype=np.int64)
+            # n-grams over the 255 that a bin can count
+            most += np.minimum(na - left.sum(1, dtype=np.int64), nb - right.sum(1, dtype=np.int64))
+            keep = most >= rule.overlap(na, nb)
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+
+    bins = classes.where(F.col("bins").isNotNull())
+    left = bins.select(F.col("id").alias("a"), F.col("size").alias("na"), F.col("bins").alias("left"))
+    right = bins.select(F.col("id").alias("b"), F.col("size").alias("nb"), F.col("bins").alias("right"))
+    met = pairs.where("long").select("a", "b").join(left, "a").join(right, "b")
+    return pairs.where("not long").select("a", "b").unionAll(met.mapInArrow(run, "a long, b long"))
 
 
 def _id_filter(ids: DataFrame) -> np.ndarray:
@@ -382,15 +423,15 @@ def join(docs: DataFrame, doc_id: str, text: str, rule: Rule = Rule()) -> DataFr
     rows = stage(profiles(docs, doc_id, text, rule), "profiles")
     full = rows.where(F.col("print").isNotNull())
     classes = full.groupBy("print", "size").agg(
-        F.min(F.struct("doc_id", "prefix", "bits")).alias("one"), F.min("doc_id").alias("doc_id")
+        F.min(F.struct("doc_id", "prefix", "bits", "bins")).alias("one"), F.min("doc_id").alias("doc_id")
     )
     classes = classes.select(
-        F.monotonically_increasing_id().alias("id"), "print", "size", "doc_id", F.col("one.doc_id").alias("sample"), "one.prefix", "one.bits"
+        F.monotonically_increasing_id().alias("id"), "print", "size", "doc_id", F.col("one.doc_id").alias("sample"), "one.prefix", "one.bits", "one.bins"
     )
     classes = stage(classes, "classes")
 
     # dealt by token once, for the counts and for the join with them
-    members = classes.select(F.explode("prefix").alias("token"), "id").repartition("token")
+    members = classes.select(F.explode("prefix").alias("token"), "id").where("token is not null").repartition("token")
     found = members.groupBy("token").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")
     )
@@ -399,14 +440,14 @@ def join(docs: DataFrame, doc_id: str, text: str, rule: Rule = Rule()) -> DataFr
     facts = classes.select("id", "size", "bits")
 
     first = candidates(cells.join(facts, "id").withColumn("root", F.col("id")), rule, forest=True)
-    first = stage(first, "pairs")
+    first = stage(plausible(first, classes, rule), "pairs")
     links = stage(verified(first, classes, docs, doc_id, text, rule).select("a", "b"), "links")
     roots = components(links)
 
     rooted = cells.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     second = candidates(rooted.join(mixed.select("token"), "token", "left_semi").join(facts, "id"), rule, forest=False)
-    second = stage(second.join(first, ["a", "b"], "left_anti"), "pairs")
+    second = stage(plausible(second.join(first, ["a", "b"], "left_anti"), classes, rule), "pairs")
     more = verified(second, classes, docs, doc_id, text, rule).select("a", "b")
     roots = components(links.union(more))
 
