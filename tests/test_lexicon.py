@@ -50,10 +50,18 @@ def test_scores_equal_a_plain_loop(rows, score, negations):
     texts = ["", "  ", None] + [" ".join(rng.choices(["n", "m", "p", "q", "x", "both", "z"], k=rng.randint(1, 12))) for _ in range(500)]
     df = rows([(i, t) for i, t in enumerate(texts)], "doc_id int, light_text string")
     table = rows(list(weights.items()), "word string, weight int")
-    got = {r.doc_id: r.score or 0 for r in score(df, table, negations).collect()}
+    got = {r.doc_id: r.score for r in score(df, table, negations).collect()}
     assert got == {i: python_score((t or "").split(), weights, negations) for i, t in enumerate(texts)}
 
 
+def test_repeated_words_score_the_same_either_way(rows, monkeypatch):
+    df = rows([(1, "a b a"), (2, None)], "doc_id int, light_text string")
+    table = rows([("a", 2), ("a", 5), ("b", -1)], "word string, weight int")
+    small = {r.doc_id: r.score for r in lx.lexicon_score(df, table).collect()}
+    monkeypatch.setattr(lx, "small_map", lambda *a: None)
+    assert small == {r.doc_id: r.score for r in lx.lexicon_score(df, table).collect()} == {1: 9, 2: 0}
+
+
 def test_null_text_is_neutral(rows, lexicon):
     df = rows([(1, None), (2, " ")], "doc_id int, light_text string")
     assert [r.label for r in lx.label_texts(df, lexicon, wordlists.NEGATIONS).collect()] == ["Netral", "Netral"]

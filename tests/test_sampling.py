@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from tidesift.operators import explore, profile, sampling
+from tidesift.operators import explore, features as ft, profile, sampling
 
 
 def digest(*parts):
@@ -73,9 +73,12 @@ def test_param_grid_is_distinct_and_repeatable():
     assert all(g[k] in v for g in grid for k, v in sampling.PARAM_SPACE.items())
 
 
-def test_too_many_classes(spark):
-    with pytest.raises(ValueError):
-        sampling.class_counts(spark.range(2000).withColumn("label", F.col("id").cast("string")), "label")
+def test_many_classes_are_all_kept(spark):
+    df = spark.range(2000).withColumn("label", F.format_string("c%04d", "id"))
+    assert len(sampling.class_counts(df, "label")) == 2000
+    encoded, classes = ft.encode_labels(df)
+    assert len(classes) == 2000
+    assert ft.add_class_weights(encoded).where("label_idx != id or label_idx is null or weight != 1.0").count() == 0
 
 
 def test_dedup_keeps_the_first(rows):

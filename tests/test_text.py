@@ -67,6 +67,12 @@ def test_preprocess_indonesian(spark, rows):
     assert (got[3].light_text, got[3].processed_text) == ("ya", "")
 
 
+def test_undecided_texts_stay_without_profiles(spark, rows):
+    text = "beasiswa luar negeri membantu mahasiswa"
+    (got,) = pp.preprocess(rows([(1, text)], "doc_id int, text string"), default_tables(spark)).collect()
+    assert got.light_text == text and got.processed_text
+
+
 def test_language_filter(spark, rows):
     tables = default_tables(spark)
     texts = [("id", "saya makan nasi goreng di warung"), ("id", "kami pergi belajar bersama teman"), ("en", "the weather was very nice today"), ("en", "they went through the whole thing")] * 3

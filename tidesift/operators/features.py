@@ -34,11 +34,9 @@ def label_mapping(df: DataFrame, label: str = "label") -> DataFrame:
 def encode_labels(df: DataFrame, label: str = "label", classes: list[str] | None = None) -> tuple[DataFrame, list[str]]:
     """Adds ``label_idx`` and returns the class names in its order."""
     if classes is None:
-        classes = [r[label] for r in label_mapping(df, label).orderBy("label_idx").limit(1000).collect()]
-    index = F.lit(None).cast("int")
-    for k, c in enumerate(classes):
-        index = F.when(F.col(label) == c, k).otherwise(index)
-    return df.withColumn("label_idx", index), classes
+        classes = [r[label] for r in label_mapping(df, label).orderBy("label_idx").collect()]
+    index = LiteralMap({c: k for k, c in enumerate(classes)}, "int")
+    return df.withColumn("label_idx", index.get(F.col(label))), classes
 
 
 def decode_labels(index: Column, classes: list[str]) -> Column:
@@ -192,8 +190,5 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 def add_class_weights(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """Adds its class's weight to each row; one constant per class."""
-    rows = class_weights(df, label).limit(1000).collect()
-    weight = F.lit(1.0)
-    for r in rows:
-        weight = F.when(F.col(label) == r[label], F.lit(r["weight"])).otherwise(weight)
-    return df.withColumn(out, weight)
+    weights = LiteralMap({r[label]: r["weight"] for r in class_weights(df, label).collect()}, "double")
+    return df.withColumn(out, F.coalesce(weights.get(F.col(label)), F.lit(1.0)))

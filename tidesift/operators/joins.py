@@ -1,9 +1,9 @@
 """Token tables and the joins used for dictionaries over the literal bound.
 
 A single frequent word can hold a third of all tokens, so a shuffle by word must
-not send each word to one task. Frequent words are looked for in the first texts
-and get salts in proportion to their share, rare words get none. The guess only
-decides how the work is spread: the join is exact whatever it says.
+not send each word to one task. Words are counted over all texts, and frequent
+ones get salts in proportion to their share, rare words get none. Salts only
+decide how the work is spread, never what is joined.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidesift.functions.lookup import LiteralMap, small_map, small_set
 from tidesift.functions.once import compute_once
 
-PROBE_TEXTS = 500
 # Salts per average partition's worth of tokens.
 SALTS_PER_PARTITION = 4
 
@@ -26,14 +25,16 @@ def explode_tokens(df: DataFrame, tokens: str = "tokens", keep: tuple[str, ...]
 
 
 def frequent_words(df: DataFrame, tokens: str, partitions: int) -> dict[str, int]:
-    """Salts of the words that would fill a good part of a partition, by the first texts.
+    """Salts of the words that would fill a good part of a partition, counted over all texts.
 
     Shares add up to 1, so there are at most ``SALTS_PER_PARTITION * partitions`` such words.
     """
-    counts = word_counts(df.select(tokens).limit(PROBE_TEXTS), tokens)
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    hot = counts.filter(F.col("n") * SALTS_PER_PARTITION * partitions > total).collect()
-    return {r["word"]: -(-r["n"] * SALTS_PER_PARTITION * partitions // total) for r in hot}
+    counts = word_counts(df.select(tokens), tokens)
+    total = counts.agg(F.sum("n").alias("total"))
+    # The total is one row, and counts are summed before their shuffle.
+    share = F.col("n") * SALTS_PER_PARTITION * partitions
+    hot = counts.join(F.broadcast(total), share > F.col("total")).collect()
+    return {r["word"]: -(-r["n"] * SALTS_PER_PARTITION * partitions // r["total"]) for r in hot}
 
 
 def join_by_word(df: DataFrame, table: DataFrame, word: str, how: str, tokens: str = "tokens") -> DataFrame:
@@ -58,7 +59,8 @@ def _regroup(df: DataFrame, long: DataFrame, tokens: str, id_col: str) -> DataFr
 
 
 def map_tokens(df: DataFrame, tokens: str, table: DataFrame, word: str, value: str, id_col: str = "doc_id") -> DataFrame:
-    """Replace each token by its value in the table, if it has one."""
+    """Replace each token by its value in the table, if it has one; of several, by the greatest."""
+    table = table.groupBy(word).agg(F.max(value).alias(value))
     mapping = small_map(table, word, value)
     if mapping is not None:
         return df.withColumn(tokens, F.transform(tokens, lambda x: F.coalesce(mapping.get(x), x)))

@@ -10,7 +10,6 @@ from tidesift.functions.text import case_fold, filter_text, tokenize
 from tidesift.operators.joins import explode_tokens, word_counts
 from tidesift.sources.scratch import stage
 
-MAX_LANGUAGES = 100
 # Scores (n-grams times languages) that may be broadcast: some 30 MB.
 MAX_BROADCAST_SCORES = 2_000_000
 GRAM = 3
@@ -51,15 +50,13 @@ def gram_counts(df: DataFrame, lang: str = "lang", text: str = "text") -> DataFr
 
 
 def train_profiles(df: DataFrame, lang: str = "lang", text: str = "text") -> LanguageProfiles:
-    """Learn n-gram log probabilities per language, add-one smoothed.
+    """Learn n-gram log probabilities per language, add-one smoothed; rows without a language take no part.
 
     The driver sees one row per language; the n-gram table is written once to
     the shared folder and read from there by every later use.
     """
-    counts = stage(gram_counts(df, lang, text), "gram-counts")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(totals) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages; is {lang!r} the language column?")
+    counts = stage(gram_counts(df.where(F.col(lang).isNotNull()), lang, text), "gram-counts")
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()
     vocabulary = counts.select("gram").distinct().count()
     languages = [r.lang for r in totals]
     # Not named n: a Row also has tuple methods, and count or index would hide a column.

@@ -103,13 +103,16 @@ def lexicon_score(
     """Adds the summed weight of a text's words.
 
     With ``negations``, a negation word is not scored itself; it turns the sign
-    of the next weighted word, and several in a row turn it once.
+    of the next weighted word, and several in a row turn it once. Null texts
+    score 0. Of a word that the lexicon holds twice, the greater weight counts.
     """
+    lexicon = lexicon.groupBy("word").agg(F.max("weight").alias("weight"))
     weights = small_map(lexicon, "word", "weight")
     if weights is None:
         return lexicon_score_by_join(df, lexicon, negations, text, id_col, score)
     words = LiteralSet(negations) if negations else None
-    return compute_once(df, {score: _score_expression(tokenize(F.col(text)), weights, words)})
+    total = _score_expression(tokenize(F.col(text)), weights, words)
+    return compute_once(df, {score: F.coalesce(total, F.lit(0).cast("long"))})
 
 
 def lexicon_score_by_join(

@@ -56,18 +56,20 @@ def _tokens(df: DataFrame, text: str) -> DataFrame:
 def _keep_language(df: DataFrame, tables: TextTables, id_col: str) -> DataFrame:
     """Empties the tokens of texts in another language.
 
-    Only texts the heuristic leaves open are scored by the n-gram profiles.
+    Only texts the heuristic leaves open are scored by the n-gram profiles;
+    without profiles they cannot be judged, and are kept.
     """
+    if tables.profiles is None:
+        return df
     kept = df.withColumn("_keep", language_heuristic(F.col("_tokens"), tables.strong))
-    if tables.profiles is not None:
-        # Read from the input a second time: the two branches share no shuffle,
-        # and the decided texts take no part in the join.
-        open_ = kept.filter(~F.col("_keep")).withColumn("_clean", F.array_join("_tokens", " "))
-        langs = ngram_language_id(open_, tables.profiles, "_clean", id_col, cleaned=True)
-        found = open_.drop("_clean", "_keep").join(langs.select(id_col, "lang_pred"), id_col, "left")
-        # A text without any n-gram cannot be judged, and is kept.
-        is_kept = F.coalesce(F.col("lang_pred") == tables.language, F.lit(True))
-        kept = kept.filter("_keep").unionByName(found.withColumn("_keep", is_kept).drop("lang_pred"))
+    # Read from the input a second time: the two branches share no shuffle,
+    # and the decided texts take no part in the join.
+    open_ = kept.filter(~F.col("_keep")).withColumn("_clean", F.array_join("_tokens", " "))
+    langs = ngram_language_id(open_, tables.profiles, "_clean", id_col, cleaned=True)
+    found = open_.drop("_clean", "_keep").join(langs.select(id_col, "lang_pred"), id_col, "left")
+    # A text without any n-gram cannot be judged, and is kept.
+    is_kept = F.coalesce(F.col("lang_pred") == tables.language, F.lit(True))
+    kept = kept.filter("_keep").unionByName(found.withColumn("_keep", is_kept).drop("lang_pred"))
     empty = F.array().cast("array<string>")
     return kept.withColumn("_tokens", F.when(F.col("_keep"), F.col("_tokens")).otherwise(empty)).drop("_keep")
 
@@ -83,8 +85,9 @@ def preprocess(
 ) -> DataFrame:
     """Adds the processed and the light text; both share all steps up to the light text.
 
-    A text that is empty, or not in the wanted language, gets empty texts. Give
-    None for one that is not wanted. Null texts count as empty.
+    A text that is empty, or that the tables' language profiles find in another
+    language, gets empty texts. Give None for one that is not wanted. Null texts
+    count as empty.
     """
     out = _tokens(df, text)
     if filter_lang:

@@ -72,17 +72,16 @@ def lexicon(spark: SparkSession) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    df = read_table(spark, f"{sf}/documents.parquet", spread_by="doc_id")
-    return df.select(*(columns or ("doc_id", "lang", "text")))
+    return table(spark, sf, "documents").select(*(columns or ("doc_id", "lang", "text")))
 
 
-def table(spark: SparkSession, sf: str, name: str, spread_by: str | None = None) -> DataFrame:
-    return read_table(spark, f"{sf}/{name}.parquet", spread_by)
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return read_table(spark, f"{sf}/{name}.parquet")
 
 
 def event_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Events with the text of the document of the same number, null where there is none."""
-    events = table(spark, sf, "events", "event_id").select(F.col("event_id").alias("doc_id"), "ts")
+    events = table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), "ts")
     return events.join(documents(spark, sf, "doc_id", "lang", "text"), "doc_id", "left")
 
 
@@ -94,7 +93,6 @@ def light_tokens(spark: SparkSession, sf: str) -> DataFrame:
 
 def labelled(spark: SparkSession, sf: str, negated: bool = True) -> DataFrame:
     """Deduplicated documents with both texts, score and label, all languages."""
-    # Not spread first: the shuffle that brings copies together does that.
     raw = table(spark, sf, "documents").select("doc_id", "lang", "text")
     return build_labelled(
         raw, tables(spark), lexicon(spark), filter_lang=False, negated=negated

@@ -1,14 +1,14 @@
 """Queries: evaluation of one labelling of the documents against another.
 
 The label by the lexicon with negation is taken as actual; the label without it,
-and the one of the first 128 words, as predictions.
+and the one of the processed text, as predictions.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidesift.operators import evaluate as ev, lexicon as lx, preprocess as pp, sampling
+from tidesift.operators import evaluate as ev, lexicon as lx, sampling
 from tidesift.plans.catalog import base
 from tidesift.plans.catalog.base import SQL_LABELLED, labelled, lexicon, query, sql_label, sql_score_cte
 from tidesift.sources.scratch import stage
@@ -18,20 +18,19 @@ CLASSES = lx.CLASSES
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     rows = lx.lexicon_score(labelled(spark, sf), lexicon(spark), None, "light_text", score="plain_score")
-    short = pp.truncate_tokens(rows.withColumn("_short", F.col("light_text")), "_short", 128)
-    short = lx.lexicon_score(short, lexicon(spark), base.NEGATIONS, "_short", score="short_score")
-    return short.select(
+    rows = lx.lexicon_score(rows, lexicon(spark), base.NEGATIONS, "processed_text", score="processed_score")
+    return rows.select(
         "doc_id",
         F.col("label").alias("actual"),
         lx.sentiment_label(F.col("plain_score")).alias("predicted"),
-        lx.sentiment_label(F.col("short_score")).alias("predicted_short"),
+        lx.sentiment_label(F.col("processed_score")).alias("predicted_processed"),
     )
 
 
-SQL_PREDICTIONS = f"""{SQL_LABELLED}, {sql_score_cte("short_scores", "(SELECT * FROM norm WHERE pos <= 128)")},
+SQL_PREDICTIONS = f"""{SQL_LABELLED}, {sql_score_cte("processed_scores", "proc_words")},
 predictions AS (
-  SELECT l.doc_id, l.label AS actual, l.plain_label AS predicted, {sql_label("coalesce(s.score, 0)")} AS predicted_short
-  FROM labelled l LEFT JOIN short_scores s USING (doc_id))
+  SELECT l.doc_id, l.label AS actual, l.plain_label AS predicted, {sql_label("coalesce(s.score, 0)")} AS predicted_processed
+  FROM labelled l LEFT JOIN processed_scores s USING (doc_id))
 """
 
 
@@ -90,18 +89,18 @@ def summary_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _SQL_BOTH = f"""{SQL_PREDICTIONS}, {_sql_metrics("predictions")},
-short_predictions AS (SELECT actual, predicted_short AS predicted FROM predictions),
-{_sql_metrics("short_predictions", "n")}"""
+processed_predictions AS (SELECT actual, predicted_processed AS predicted FROM predictions),
+{_sql_metrics("processed_predictions", "n")}"""
 _SQL_TEXTS = ", ".join(f"""printf('%.4f', {m}) AS "{h}" """ for m, h in ev.REPORT_HEADINGS.items())
 
 
 @query(f"""{_SQL_BOTH}
-SELECT 'plain' AS "Model", {_SQL_TEXTS} FROM m_summary UNION ALL SELECT 'short', {_SQL_TEXTS} FROM n_summary
+SELECT 'plain' AS "Model", {_SQL_TEXTS} FROM m_summary UNION ALL SELECT 'processed', {_SQL_TEXTS} FROM n_summary
 """)
 def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     rows = stage(predictions(spark, sf), "predictions")
     return ev.model_comparison(
-        {"plain": ev.summary_metrics(rows), "short": ev.summary_metrics(rows, predicted="predicted_short")}
+        {"plain": ev.summary_metrics(rows), "processed": ev.summary_metrics(rows, predicted="predicted_processed")}
     )
 
 
@@ -109,7 +108,7 @@ def by_model(spark: SparkSession, sf: str) -> DataFrame:
     """Metrics of both predictions, from one pass: each row is turned into two."""
     models = F.array(
         F.struct(F.lit("plain").alias("model"), F.col("predicted").alias("predicted")),
-        F.struct(F.lit("short").alias("model"), F.col("predicted_short").alias("predicted")),
+        F.struct(F.lit("processed").alias("model"), F.col("predicted_processed").alias("predicted")),
     )
     long = predictions(spark, sf).select("actual", F.inline(models))
     return ev.summary_metrics(long, by=("model",))
@@ -119,11 +118,11 @@ def by_model(spark: SparkSession, sf: str) -> DataFrame:
 SELECT round((SELECT accuracy FROM n_summary) - (SELECT accuracy FROM m_summary), 6) AS delta
 """)
 def metric_delta(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(ev.metric_delta(by_model(spark, sf), "plain", "short"))
+    return _rounded(ev.metric_delta(by_model(spark, sf), "plain", "processed"))
 
 
 @query(f"""{_SQL_BOTH},
-board AS (SELECT 'plain' AS model, {_SQL_SUMMARY} FROM m_summary UNION ALL SELECT 'short', {_SQL_SUMMARY} FROM n_summary)
+board AS (SELECT 'plain' AS model, {_SQL_SUMMARY} FROM m_summary UNION ALL SELECT 'processed', {_SQL_SUMMARY} FROM n_summary)
 SELECT * FROM board ORDER BY f1_macro DESC, model LIMIT 1
 """)
 def select_best_candidate(spark: SparkSession, sf: str) -> DataFrame:

@@ -214,7 +214,7 @@ def drop_empty_processed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages", "page_id").select("page_id", F.concat_ws(" ", "url", "html").alias("text"))
+    return table(spark, sf, "pages").select("page_id", F.concat_ws(" ", "url", "html").alias("text"))
 
 
 def _register_step(name: str, step, key: str) -> None:
@@ -392,12 +392,15 @@ def preprocess(spark: SparkSession, sf: str) -> DataFrame:
     return pp.preprocess(docs, t, light=None).select("doc_id", "processed_text")
 
 
-@query(f"""{SQL_TEXTS}, {_SQL_HEURISTIC}
-SELECT d.doc_id, CASE WHEN h.keep THEN coalesce(l.light_text, '') ELSE '' END AS light_text
-FROM docs d JOIN heuristic h USING (doc_id) LEFT JOIN light l USING (doc_id)
+@query(f"""{SQL_TEXTS}, {_SQL_HEURISTIC}, {_SQL_LANGID},
+kept AS (SELECT h.doc_id FROM heuristic h LEFT JOIN lang_pred p USING (doc_id) WHERE h.keep OR coalesce(p.lang_pred = 'en', true))
+SELECT d.doc_id, CASE WHEN k.doc_id IS NULL THEN '' ELSE coalesce(l.light_text, '') END AS light_text
+FROM docs d LEFT JOIN kept k USING (doc_id) LEFT JOIN light l USING (doc_id)
 """)
 def preprocess_light(spark: SparkSession, sf: str) -> DataFrame:
-    return pp.preprocess_light(documents(spark, sf), tables(spark)).select("doc_id", "light_text")
+    t, docs = tables(spark), documents(spark, sf)
+    t.profiles = langid.train_profiles(docs)
+    return pp.preprocess_light(docs, t).select("doc_id", "light_text")
 
 
 _TURN_ID = "(c.conv_id::VARCHAR || ':' || c.turn::VARCHAR)"
@@ -406,7 +409,7 @@ SQL_TURNS = f"WITH {SQL_WORD_TABLES}, {SQL_TURN_CTES}"
 
 
 def turns(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "conversations", "conv_id").select(
+    return table(spark, sf, "conversations").select(
         F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("doc_id"), "role", "text"
     )
 

@@ -12,13 +12,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidesift.operators import evaluate, explore, features, models, profile, sampling
 from tidesift.operators.lexicon import CLASSES, label_texts
-from tidesift.operators.preprocess import TextTables, preprocess, truncate_tokens
+from tidesift.operators.preprocess import TextTables, preprocess
 from tidesift.sources.files import write_report
 from tidesift.sources.scratch import stage
 
 KINDS = {"random-forest": RandomForestClassificationModel, "softmax": LogisticRegressionModel}
 MODEL_NAMES = {"random-forest": "Random Forest Base", "softmax": "Softmax (light text)"}
-MAX_TOKENS = 128
 
 
 def build_labelled(
@@ -53,11 +52,8 @@ class FittedClassifier:
     text: str
 
     def weighed(self, df: DataFrame) -> DataFrame:
-        """Adds ``tfidf``. Light texts are capped for the model only."""
-        source = self.text
-        if source == "light_text":
-            df, source = truncate_tokens(df.withColumn("_capped", F.col(source)), "_capped", MAX_TOKENS), "_capped"
-        return self.tfidf.transform(df, source).drop("_capped")
+        """Adds ``tfidf`` of the whole text."""
+        return self.tfidf.transform(df, self.text)
 
     def training_vectors(self, df: DataFrame) -> DataFrame:
         """``features``, ``label_idx``, ``weight`` and, if there is one, ``fold``: written once, read by every pass."""
@@ -162,8 +158,7 @@ def train(labelled: DataFrame, options: TrainOptions | None = None, id_col: str
     )
     rows, classes = features.encode_labels(rows, "label")
     basis = rows if options.order == "resample_then_split" else rows.filter("split = 'train'")
-    capped = truncate_tokens(basis, text, MAX_TOKENS) if options.kind == "softmax" else basis
-    vocabulary = features.fit_tfidf(capped, text, options.min_df, options.max_features)
+    vocabulary = features.fit_tfidf(basis, text, options.min_df, options.max_features)
     tfidf = features.TfidfModel.of(vocabulary)
     fitted = FittedClassifier(options.kind, None, tfidf, classes, text)
 

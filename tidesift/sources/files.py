@@ -18,18 +18,9 @@ class MissingColumns(ValueError):
     """The input lacks a column the operator needs."""
 
 
-def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
-    """Read a Parquet table.
-
-    A table of fewer files than the cluster has cores is spread over all of them
-    by hash of ``spread_by``; one of many files already comes in as many splits
-    and is left as it lies.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread_by and len(df.inputFiles()) < cores:
-        df = df.repartition(cores, spread_by)
-    return df
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Read a Parquet table, split as its files and row groups allow; no row is moved."""
+    return spark.read.parquet(path)
 
 
 def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
