@@ -10,15 +10,14 @@ from tidesift.plans.catalog.base import labelled, lexicon, query, tables
 from tidesift.plans.catalog.texts import turns
 from tidesift.sources.scratch import scratch_path, stage
 
-# A small forest on the most frequent terms; the defaults are 300 trees on 20 000.
+# A small forest; the default has 300 trees.
 FOREST = {"num_trees": 10, "max_depth": 6}
-TERMS = 300
 SPACE = {"n_estimators": [5, 10], "max_depth": [4, 6], "min_samples_leaf": [1, 2], "max_features": ["sqrt"], "bootstrap": [True]}
 
 
 def _train(spark: SparkSession, sf: str, **options) -> pl.TrainResult:
     settings = {} if options.get("kind") == "softmax" else FOREST
-    return pl.train(labelled(spark, sf), pl.TrainOptions(max_features=TERMS, settings=settings, **options))
+    return pl.train(labelled(spark, sf), pl.TrainOptions(settings=settings, **options))
 
 
 def _fit(spark: SparkSession, sf: str, kind: str = "random-forest") -> tuple[pl.FittedClassifier, DataFrame]:
@@ -26,7 +25,7 @@ def _fit(spark: SparkSession, sf: str, kind: str = "random-forest") -> tuple[pl.
     text = "light_text" if kind == "softmax" else "processed_text"
     rows = stage(labelled(spark, sf).select("doc_id", "text", "processed_text", "light_text", "label"), "labelled")
     rows, classes = ft.encode_labels(rows)
-    tfidf = ft.TfidfModel.of(ft.fit_tfidf(rows, text, max_features=TERMS))
+    tfidf = ft.TfidfModel.of(ft.fit_tfidf(rows, text))
     fitted = pl.FittedClassifier(kind, None, tfidf, classes, text)
     vectors = fitted.training_vectors(ft.add_class_weights(rows))
     fit = models.fit_weighted_softmax if kind == "softmax" else lambda df: models.fit_forest(df, **FOREST)
