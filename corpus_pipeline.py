@@ -2,7 +2,7 @@
 
 Every stage keeps clean documents and, but for the last, returns the columns of the documents it was given. Tables
 besides the documents (labels, benchmark) come from ``sf_dir``. Rows that repeat a document pass all stages but that
-of near duplicates, which keeps one row of each group.
+of near duplicates, which keeps one row of each group, whatever the ids: they may be null or repeat.
 """
 
 from __future__ import annotations
@@ -47,12 +47,17 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the row with the smallest id of each group of near duplicates, and of rows that repeat an id the first by text."""
-    joined = jaccard_tree.join(docs, "doc_id", "text", jaccard_tree.Rule())
-    first = joined.where(F.col("doc_id") == F.col("component")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi")
-    repeated = kept.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(F.struct(docs.columns)).alias("row"))
-    return repeated.select("row.*")
+    """Keeps the row with the smallest id of each group of near duplicates, null ids last and equal ids by text.
+
+    Rows are told apart by id and text, not by the id alone. Texts without words are in no group, and all are kept.
+    """
+    key, size, own = (_free(docs, c) for c in ("row_key", "row_size", "row_own"))
+    digest = F.unhex(F.sha2("text", 256)).alias("digest")
+    keyed = docs.withColumn(key, F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), digest))
+    joined = jaccard_tree.join(keyed, key, "text", jaccard_tree.Rule())
+    first = joined.where(F.col("doc_id").eqNullSafe(F.col("component"))).select(F.col("doc_id").alias(key), F.col("size").alias(size))
+    kept = keyed.join(first.distinct(), key).withColumn(own, F.when(F.col(size) == 0, F.monotonically_increasing_id()))
+    return kept.groupBy(key, own).agg(F.min(F.struct(docs.columns)).alias("row")).select("row.*")
 
 
 def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -379,7 +379,8 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str,
                     [piece.column("doc_id"), fingerprints(grams, counts), binaries(grams, counts).cast(pa.binary())],
                     names=["doc_id", "print", "grams"],
                 )
-                keys = list(zip(made.column(0).to_pylist(), made.column(1).to_pylist(), strict=True))
+                ids = (tuple(x.values()) if isinstance(x, dict) else x for x in made.column(0).to_pylist())
+                keys = list(zip(ids, made.column(1).to_pylist(), strict=True))
                 new = [k not in seen and not seen.add(k) for k in keys]
                 yield made.filter(pa.array(new, pa.bool_()))
 
@@ -417,8 +418,8 @@ def join(docs: DataFrame, doc_id: str, text: str, rule: Rule = Rule()) -> DataFr
 
     Rows link when the similarity of their sets of n-grams reaches the rule's. Null and empty texts, and texts without
     words, have an empty set and link with nothing; equal sets always link. Rows with the same id and different texts
-    are apart unless their sets link. Null ids are passed over by the minimum. An empty table gives no rows. Other
-    columns are not looked at.
+    are apart unless their sets link. Null ids are passed over by the minimum; an id may be a struct, whose null fields
+    count as smallest. An empty table gives no rows. Other columns are not looked at.
     """
     rows = stage(profiles(docs, doc_id, text, rule), "profiles")
     full = rows.where(F.col("print").isNotNull())
