@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidesift.llm import decontaminate as dec, jaccard_tree, nearest
+from tidesift.llm.queries import leaks
 
 WORDS = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
 
@@ -68,6 +69,22 @@ def test_leaks_and_clean_rows(rows):
     assert all(r.leaks == [] for r in none.collect())
 
 
+def test_short_items_and_unspaced_scripts(rows):
+    """The query's search finds items of few words by a run of all of them, and by characters where there are no blanks."""
+    items = [
+        (1, "What is the capital of France? Paris."), (2, "Quito"), (3, "今天天气很好我们一起去公园散步吧"), (4, "水の都"), (5, "ประเทศไทย"),
+        (6, "..."), (None, "no id here"), (7, "What is the capital of France? Paris."),
+    ]
+    docs = [
+        (1, "so, WHAT is the capital of france - paris and more"), (2, "what is the capital of France? It is Paris."), (3, "Quitos mosquito"),
+        (4, "他说：今天天气很好我们一起去公园散步吧，然后回家。"), (5, "ここは水の都です"), (6, "เที่ยวประเทศไทยกัน Quito"), (7, "水の 今天天气"),
+        (8, "there is no id"), (9, "here"), (10, "No id; here"), (11, None), (12, "capital of France? Paris. What is the"),
+    ]
+    got = leaks(rows(docs, "doc_id long, text string"), rows(items, "item_id long, text string")).collect()
+    want = {1: [1, 7], 4: [3], 5: [4], 6: [2, 5], 10: [None]}
+    assert {r.doc_id: [x.item for x in r.leaks] for r in got} == {d: want.get(d, []) for d, _ in docs}
+
+
 def _vectors(n, size, seed):
     rng = np.random.default_rng(seed)
     centres = rng.normal(size=(8, size))

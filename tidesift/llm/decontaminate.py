@@ -8,6 +8,9 @@ Retrieval takes the three tests of block-max WAND for all windows of a piece of
 when its terms' largest weights (the pivot test) do not add up to the threshold; a block of postings when its own
 largest weights do not; what is left is scored in full. All parts at or above the threshold are retrieved. They are
 then verified by the shares of the question's and the answer's word n-grams that the window holds.
+
+A character of a script that is written without blanks (Chinese, Japanese, Thai and the like) is a word. Items of too
+few words for that search are found, if asked for, where all their words stand in a run.
 """
 
 from __future__ import annotations
@@ -30,6 +33,16 @@ STRIDE, BLOCK = 64, 8
 GRAM = 3
 #: Postings of one broadcast index. More items are searched by several, one after the other.
 SHARD = 2_000_000
+#: Ranges of characters that are words of their own, and of punctuation beyond ASCII, in code points.
+SINGLE = (
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x2E80, 0x2FFF), (0x3003, 0x3007),
+    (0x3021, 0x3029), (0x3031, 0x312F), (0x31A0, 0x9FFF), (0xA000, 0xA4CF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F),
+    (0x1B000, 0x1B16F), (0x20000, 0x3FFFF),
+)
+SIGNS = (
+    (0x2000, 0x200B), (0x2010, 0x2029), (0x202F, 0x205F), (0x3000, 0x3002), (0x3008, 0x3020), (0x302A, 0x3030),
+    (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65),
+)
 FOUND = "array<struct<item:bigint,score:double,question:double,answer:double>>"
 
 
@@ -45,6 +58,19 @@ class Rule:
     b: float = 0.75
 
 
+def _beyond_ascii(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the characters of ``SINGLE`` and ``SIGNS``, and which are of ``SINGLE``."""
+    at = np.flatnonzero(data >= 0xE0)  # characters of three or four bytes
+    size = 3 + (data[at] >= 0xF0)
+    byte = lambda k: data[at + k].astype(np.int64) & 0x3F
+    code = ((data[at].astype(np.int64) & 0x0F) << 12) | (byte(1) << 6) | byte(2)
+    four = np.flatnonzero(size == 4)
+    code[four] = ((code[four] & 0x7FFF) << 6) | (data[at[four] + 3] & 0x3F)
+    single, sign = (np.logical_or.reduce([(code >= a) & (code <= b) for a, b in ranges]) for ranges in (SINGLE, SIGNS))
+    own = single | sign
+    return at[own], (at + size)[own], single[own]
+
+
 def plain_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, in lower case and without punctuation, and how many each text has."""
     t = texts(pc.utf8_lower(column.cast(pa.large_string())))
@@ -52,11 +78,19 @@ def plain_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     starts, ends, _ = words(t, SPLIT)
     solid = SPLIT[data[starts]] == 1 if len(starts) else np.zeros(0, bool)
     starts, ends = starts[solid], ends[solid]
+    first, last, single = _beyond_ascii(data)
+    if len(first):  # cut out of the words that they are in
+        starts, ends = np.sort(np.concatenate((starts, first, last))), np.sort(np.concatenate((ends, first, last)))
+        full = starts < ends
+        starts, ends = starts[full], ends[full]
+        place = np.minimum(np.searchsorted(first, starts), len(first) - 1)
+        keep = (first[place] != starts) | single[place]
+        starts, ends = starts[keep], ends[keep]
     return word_hashes(data, starts, ends), np.diff(np.searchsorted(starts, t.bounds))
 
 
 def _parts(items: DataFrame, item_id: str, question: str, answer: str | None, rule: Rule) -> DataFrame:
-    """``item, words, cut`` of each part; words before ``cut`` are the question's."""
+    """``item, words, cut`` of each part; words before ``cut`` are the question's. Items of too few words are one part, cut at -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,6 +100,9 @@ def _parts(items: DataFrame, item_id: str, question: str, answer: str | None, ru
             for item, x, y in zip(batch.column("item").to_pylist(), qs, as_, strict=True):
                 every = np.concatenate((x, y)).view(np.int64)
                 if len(every) < rule.min_words:
+                    if len(every):
+                        for name, value in (("item", item), ("words", every), ("cut", -1)):
+                            out[name].append(value)
                     continue
                 for at in np.array_split(np.arange(len(every)), -(-len(every) // STRIDE)):
                     out["item"].append(item)
@@ -103,6 +140,9 @@ class Index:
     gram_part: np.ndarray
     gram_answer: np.ndarray
     sizes: np.ndarray  # distinct n-grams of question and answer by part
+    runs: list[int]  # how many words items of too few words have, the hashes of all their words, and the items
+    run: np.ndarray
+    run_item: list[int | None]
 
 
 def _runs(*keys: np.ndarray) -> np.ndarray:
@@ -117,8 +157,14 @@ def grams_of(words_: np.ndarray) -> np.ndarray:
     return join_hashes(*(words_[k : k + n] for k in range(GRAM)), seed=GRAM) if n > 0 else np.zeros(0, np.uint64)
 
 
-def build(rows: list, postings: list) -> Index:
-    """From rows ``part, item, words, cut`` and postings ``part, term, weight``."""
+def run_of(words_: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of n words."""
+    m = max(0, len(words_) - n + 1)
+    return join_hashes(*(words_[k : k + m] for k in range(n)), seed=2000 + n)
+
+
+def build(rows: list, postings: list, short: list = ()) -> Index:
+    """From rows ``part, item, words, cut``, postings ``part, term, weight`` and rows of items of too few words."""
     rows = sorted(rows, key=lambda r: (len(r["words"]), r["part"]))  # parts of a block are of like lengths
     number = {r["part"]: i for i, r in enumerate(rows)}
     part = np.array([number[p["part"]] for p in postings], np.int64)
@@ -144,21 +190,29 @@ def build(rows: list, postings: list) -> Index:
     order = np.argsort(g, kind="stable")
     g, gp, ga = g[order], gp[order], ga[order]
     gram_at = _runs(g) if len(g) else np.zeros(1, np.int64)
+    run = np.array([run_of(np.array(r["words"], np.int64).view(np.uint64), len(r["words"]))[0] for r in short], np.uint64)
+    by_run = np.argsort(run, kind="stable")
     return Index(
         [r["item"] for r in rows], -(-len(rows) // BLOCK), term[own][term_at[:-1]],
         np.maximum.reduceat(block_top, term_at[:-1]) if len(own) else block_top, term_at, block[own], block_top, block_at,
         part, weight, g[gram_at[:-1]], gram_at, gp, ga, sizes,
+        sorted({len(r["words"]) for r in short}), run[by_run], [short[i]["item"] for i in by_run],
     )
 
 
-def indexes(items: DataFrame, item_id: str, question: str, answer: str | None = None, rule: Rule = Rule()) -> Iterator[Index]:
-    """Indexes of bounded size over all items, with BM25 statistics of all parts of all items.
+def indexes(
+    items: DataFrame, item_id: str, question: str, answer: str | None = None, rule: Rule = Rule(), short: bool = False
+) -> Iterator[Index]:
+    """Indexes of bounded size over all items, with BM25 statistics of all parts of all items that are not short.
 
-    Null and empty items, and those of too few words, are left out; equal ones count once.
+    Null and empty items are left out, and those of too few words but for ``short``; equal ones count once.
     """
-    parts = stage(_parts(items, item_id, question, answer, rule), "parts")
+    every = stage(_parts(items, item_id, question, answer, rule), "parts")
+    parts = every.where("cut >= 0")
+    runs = every.where("cut < 0") if short else every.limit(0)
     total, mean = parts.agg(F.count("*"), F.avg(F.size("words"))).first()
-    if not total:
+    more = runs.count()
+    if not total + more:
         return
     terms = parts.select("part", F.size("words").alias("n"), F.explode("words").alias("term"))
     terms = terms.groupBy("part", "n", "term").agg(F.count("*").alias("tf"))
@@ -169,10 +223,11 @@ def indexes(items: DataFrame, item_id: str, question: str, answer: str | None =
     weighed = weighed.withColumn("weight", F.col("weight") / F.sum("weight").over(Window.partitionBy("part")))
     weighed = weighed.select("part", "term", "weight", F.count("*").over(Window.partitionBy("part")).alias("size"))
     weighed = stage(weighed, "postings")
-    shards = -(-weighed.count() // SHARD)
+    shards = -(-(weighed.count() + more) // SHARD)
     for k in range(shards):
         own = F.pmod(F.hash("part"), F.lit(shards)) == k
-        yield build(parts.where(own).collect(), weighed.where(own).select("part", "term", "weight").collect())
+        postings = weighed.where(own).select("part", "term", "weight").collect()
+        yield build(parts.where(own).collect(), postings, runs.where(own).select("item", "words").distinct().collect() if more else [])
 
 
 def _expand(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -243,6 +298,24 @@ def retrieve(ix: Index, hashes: np.ndarray, counts: np.ndarray, rule: Rule) -> t
     return row_of[pairs // n][good], part[good], np.minimum(score, 1)[good], share[good, 0], share[good, 1]
 
 
+def retrieve_runs(ix: Index, hashes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int | None]]:
+    """``row, item`` of the short items of which all words stand in a run, each once."""
+    if not len(ix.run):
+        return
+    left = np.repeat(np.cumsum(counts), counts) - np.arange(len(hashes))  # words up to the end of the text
+    rows = np.repeat(np.arange(len(counts)), counts)
+    for n in ix.runs:
+        at, _ = _lookup(ix.run, own := run_of(hashes, n))
+        at = at[left[at] >= n]
+        if not len(at):
+            continue
+        row, found = np.unique(np.stack([rows[at].astype(np.uint64), own[at]]), axis=1)
+        first, last = np.searchsorted(ix.run, found), np.searchsorted(ix.run, found, "right")
+        which, place = _expand(first, last)
+        for r, i in zip(row[which].tolist(), place.tolist(), strict=True):
+            yield r, ix.run_item[i]
+
+
 def search(df: DataFrame, text: str, index: Index, out: str, rule: Rule = Rule()) -> DataFrame:
     """The rows with the items found in their whole text, best window and part of each, by item."""
     shared = df.sparkSession.sparkContext.broadcast(index)  # at most SHARD postings
@@ -251,11 +324,14 @@ def search(df: DataFrame, text: str, index: Index, out: str, rule: Rule = Rule()
     def compute(piece: pa.RecordBatch) -> list[pa.Array]:
         ix: Index = shared.value
         hits: list[dict] = [{} for _ in range(piece.num_rows)]
-        found = retrieve(ix, *plain_words(piece.column(text)), rule)
+        words_ = plain_words(piece.column(text))
+        found = retrieve(ix, *words_, rule)
         for row, part, *rest in zip(*(x.tolist() for x in found), strict=True):
             own, item = hits[row], ix.items[part]
             if item not in own or rest > own[item]:
                 own[item] = rest
+        for row, item in retrieve_runs(ix, *words_):
+            hits[row][item] = [1.0, 1.0, 1.0]
         names = ("score", "question", "answer")
         rows = [
             [{"item": item, **dict(zip(names, rest, strict=True))} for item, rest in sorted(h.items(), key=lambda x: (x[0] is None, x[0] or 0))]
@@ -268,15 +344,17 @@ def search(df: DataFrame, text: str, index: Index, out: str, rule: Rule = Rule()
 
 
 def find(
-    df: DataFrame, text: str, items: DataFrame, item_id: str, question: str, answer: str | None = None, out: str = "leaks", rule: Rule = Rule()
-) -> DataFrame:
+    df: DataFrame, text: str, items: DataFrame, item_id: str, question: str, answer: str | None = None, out: str = "leaks", rule: Rule = Rule(),
+    short: bool = False,
+) -> DataFrame:
     """The rows with a list ``out`` of the items that their whole text holds; empty for clean, null and empty texts.
 
     Repeated rows get equal lists. A column named like the new one is replaced; other columns pass through. Without
-    items every list is empty. An item without an id is listed under null.
+    items every list is empty. An item without an id is listed under null. Items of fewer words than the rule's are
+    searched with ``short`` only, and found where all their words stand in a run.
     """
     columns = []
-    for k, index in enumerate(indexes(items, item_id, question, answer, rule)):
+    for k, index in enumerate(indexes(items, item_id, question, answer, rule, short)):
         columns.append(f"__leaks_{k}")
         df = search(df, text, index, columns[-1], rule)
     found = F.concat(*columns) if columns else F.array().cast(FOUND)

@@ -84,8 +84,8 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def leaks(docs: DataFrame, items: DataFrame, out: str = "leaks") -> DataFrame:
-    """Documents with the benchmark items they hold; an item's last sentence counts as its answer."""
-    return decontaminate.find(docs, "text", decontaminate.split_answer(items, "text"), "item_id", "question", "answer", out)
+    """Documents with the benchmark items they hold, short ones too; an item's last sentence counts as its answer."""
+    return decontaminate.find(docs, "text", decontaminate.split_answer(items, "text"), "item_id", "question", "answer", out, short=True)
 
 
 @query
