@@ -85,6 +85,18 @@ def test_short_items_and_unspaced_scripts(rows):
     assert {r.doc_id: [x.item for x in r.leaks] for r in got} == {d: want.get(d, []) for d, _ in docs}
 
 
+def test_items_without_answers_count_as_a_whole(rows):
+    """A changed or cut word in a short last sentence loses no passage, whatever its length; little of a passage is none."""
+    rng = random.Random(8)
+    items = [(i, _prose(rng, n) + ". " + _prose(rng, last) + ".") for i, (n, last) in enumerate([(30, 1), (30, 2), (60, 1), (80, 1), (20, 5)])]
+    docs = []
+    for i, text in items:
+        own = text.split()
+        docs += [(i, " ".join([*own[:-1], "other"])), (i, " ".join([_prose(rng, 90), *own[:-2]])), (9, " ".join(own[-12:]))]
+    got = leaks(rows(docs, "doc_id long, text string"), rows(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.text): [x.item for x in r.leaks] for r in got} == {(d, t): [d] if d < 9 else [] for d, t in docs}
+
+
 def _vectors(n, size, seed):
     rng = np.random.default_rng(seed)
     centres = rng.normal(size=(8, size))

@@ -49,13 +49,14 @@ FOUND = "array<struct<item:bigint,score:double,question:double,answer:double>>"
 @dataclass(frozen=True)
 class Rule:
     """Least share of BM25 weight, least share of n-grams of question and answer, words below which an item says
-    nothing, and the constants of BM25."""
+    nothing, the constants of BM25, and whether n-grams of question and answer count together, not each by themselves."""
 
     score: float = 0.6
     overlap: float = 0.6
     min_words: int = 8
     k1: float = 1.2
     b: float = 0.75
+    whole: bool = False
 
 
 def _beyond_ascii(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -294,7 +295,8 @@ def retrieve(ix: Index, hashes: np.ndarray, counts: np.ndarray, rule: Rule) -> t
     np.add.at(seen, (known[mine], ix.gram_answer[hit][mine]), 1)
     part = pairs % n
     share = np.where(ix.sizes[part] > 0, seen / np.maximum(ix.sizes[part], 1), 1.0)
-    good = (share >= rule.overlap).all(1)
+    least = seen.sum(1) >= rule.overlap * (1 - 1e-9) * ix.sizes[part].sum(1) if rule.whole else (share >= rule.overlap).all(1)
+    good = np.flatnonzero(least)
     return row_of[pairs // n][good], part[good], np.minimum(score, 1)[good], share[good, 0], share[good, 1]
 
 

@@ -84,8 +84,13 @@ def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def leaks(docs: DataFrame, items: DataFrame, out: str = "leaks") -> DataFrame:
-    """Documents with the benchmark items they hold, short ones too; an item's last sentence counts as its answer."""
-    return decontaminate.find(docs, "text", decontaminate.split_answer(items, "text"), "item_id", "question", "answer", out, short=True)
+    """Documents with the benchmark items they hold, short ones too.
+
+    The benchmark has no answers: overlaps are given for an item's last sentence and what is before it, but the item
+    counts as a whole.
+    """
+    parts = decontaminate.split_answer(items, "text")
+    return decontaminate.find(docs, "text", parts, "item_id", "question", "answer", out, decontaminate.Rule(whole=True), short=True)
 
 
 @query
