@@ -93,3 +93,10 @@ def test_pseudo_probabilities(rows):
     assert got[-7] == got[-5] == (0.95, 0.04, 0.01) and got[-4] == got[-1] == (0.85, 0.10, 0.05)
     assert got[0] == (0.10, 0.80, 0.10) and got[1] == got[4] == (0.05, 0.10, 0.85) and got[5] == got[9] == (0.01, 0.04, 0.95)
     assert all(abs(sum(v) - 1) < 1e-9 for v in got.values())
+
+
+def test_scores_of_null_and_repeated_ids_are_the_same_either_way(rows):
+    data = [(None, "a b"), (None, "n a"), (1, "a a"), (1, "n"), (1, "a n b"), (2, None)]
+    df, table = rows(data, "doc_id int, light_text string"), rows([("a", 2), ("b", -1)], "word string, weight int")
+    small, large = (sorted(map(repr, map(tuple, f(df, table, ["n"]).collect()))) for f in (lx.lexicon_score, lx.lexicon_score_by_join))
+    assert small == large and len(large) == len(data)

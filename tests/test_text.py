@@ -159,3 +159,13 @@ def test_formal_words_of_two_words_are_split(spark, rows):
     tables = TextTables(rows([("tq", "terima kasih")], "word string, formal string"), wordlists.words_frame(spark, ["kasih"]))
     got = pp.preprocess_for_scoring(rows([(1, "tq ya kak")], "doc_id int, text string"), tables).first()
     assert (got.light_text, got.processed_text) == ("terima kasih ya kak", "terima ya kak")
+
+
+def test_joined_lookup_keeps_rows_with_null_and_repeated_ids(rows):
+    data = [(None, ["a", "x"]), (None, ["hot"]), (1, ["b", "a"]), (1, ["x"]), (1, []), (2, None)]
+    table, stop = rows([("a", "A"), ("hot", "h")], "word string, formal string"), rows([("a",), ("hot",)], "word string")
+    as_list = lambda df: sorted(map(repr, map(tuple, df.collect())))
+    for name in ("tokens", "_tokens"):
+        df = rows(data, f"doc_id int, {name} array<string>")
+        assert as_list(joins.map_tokens_by_join(df, name, table, "word", "formal")) == as_list(joins.map_tokens(df, name, table, "word", "formal"))
+        assert as_list(joins.drop_tokens_by_join(df, name, stop, "word")) == as_list(joins.drop_tokens(df, name, stop, "word"))

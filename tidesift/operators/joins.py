@@ -4,6 +4,9 @@ A single frequent word can hold a third of all tokens, so a shuffle by word must
 not send each word to one task. Words are counted over all texts, and frequent
 ones get salts in proportion to their share, rare words get none. Salts only
 decide how the work is spread, never what is joined.
+
+Texts are told apart by a key of their own, written with their rows, so that ids
+may be null or repeat.
 """
 
 from __future__ import annotations
@@ -12,9 +15,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidesift.functions.lookup import LiteralMap, small_map, small_set
 from tidesift.functions.once import compute_once
+from tidesift.sources.scratch import stage
 
 # Salts per average partition's worth of tokens.
 SALTS_PER_PARTITION = 4
+# The key of a text.
+ROW = "__row"
+
+
+def with_row_key(df: DataFrame) -> DataFrame:
+    """The rows with a key of their own, which stays the same however often they are read."""
+    return stage(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
 
 
 def explode_tokens(df: DataFrame, tokens: str = "tokens", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -49,13 +60,13 @@ def join_by_word(df: DataFrame, table: DataFrame, word: str, how: str, tokens: s
     return left.join(right.withColumnRenamed(word, "token").hint("merge"), ["token", "salt"], how).drop("salt")
 
 
-def _regroup(df: DataFrame, long: DataFrame, tokens: str, id_col: str) -> DataFrame:
-    """Puts token rows back into each text, in order; texts left without any get an empty array."""
-    words = long.groupBy(F.col("doc_id").alias(id_col)).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("_tokens")
+def _regroup(df: DataFrame, long: DataFrame, tokens: str) -> DataFrame:
+    """Puts token rows back into each text, in order; texts left without any get an empty array, null ones stay null."""
+    words = long.groupBy(F.col("doc_id").alias(ROW)).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("__found")
     )
-    joined = df.join(words, id_col, "left")
-    return joined.withColumn(tokens, F.coalesce("_tokens", F.array().cast("array<string>"))).drop("_tokens")
+    found = F.coalesce("__found", F.array().cast("array<string>"))
+    return df.join(words, ROW, "left").withColumn(tokens, F.when(F.col(tokens).isNotNull(), found)).drop("__found", ROW)
 
 
 def map_tokens(df: DataFrame, tokens: str, table: DataFrame, word: str, value: str, id_col: str = "doc_id") -> DataFrame:
@@ -70,11 +81,12 @@ def map_tokens(df: DataFrame, tokens: str, table: DataFrame, word: str, value: s
 def map_tokens_by_join(
     df: DataFrame, tokens: str, table: DataFrame, word: str, value: str, id_col: str = "doc_id"
 ) -> DataFrame:
-    """``map_tokens`` for a table of any size."""
-    texts = df.select(F.col(id_col).alias("doc_id"), tokens)
+    """``map_tokens`` for a table of any size, whatever the ids."""
+    df = with_row_key(df)
+    texts = df.select(F.col(ROW).alias("doc_id"), tokens)
     hit = join_by_word(texts, table.select(word, F.col(value).alias("_value")), word, "left", tokens)
     long = hit.select("doc_id", "pos", F.coalesce("_value", "token").alias("token"))
-    return _regroup(df, long, tokens, id_col)
+    return _regroup(df, long, tokens)
 
 
 def drop_tokens(
@@ -91,11 +103,12 @@ def drop_tokens(
 def drop_tokens_by_join(
     df: DataFrame, tokens: str, table: DataFrame, word: str = "word", min_len: int = 1, id_col: str = "doc_id"
 ) -> DataFrame:
-    """``drop_tokens`` for a table of any size."""
+    """``drop_tokens`` for a table of any size, whatever the ids."""
+    df = with_row_key(df)
     long_enough = F.filter(tokens, lambda x: F.char_length(x) >= min_len).alias(tokens)
-    texts = df.select(F.col(id_col).alias("doc_id"), long_enough)
+    texts = df.select(F.col(ROW).alias("doc_id"), long_enough)
     long = join_by_word(texts, table.select(word).distinct(), word, "left_anti", tokens)
-    return _regroup(df, long, tokens, id_col)
+    return _regroup(df, long, tokens)
 
 
 def word_counts(df: DataFrame, tokens: Column | str, by: tuple[str, ...] = ()) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from tidesift.functions.lookup import LiteralMap, LiteralSet, small_map
 from tidesift.functions.once import compute_once
 from tidesift.functions.text import tokenize
-from tidesift.operators.joins import explode_tokens, join_by_word
+from tidesift.operators.joins import ROW, explode_tokens, join_by_word, with_row_key
 from tidesift.sources.local import local_frame
 
 # Class names, in alphabetical order.
@@ -123,7 +123,7 @@ def lexicon_score_by_join(
     id_col: str = "doc_id",
     score: str = "score",
 ) -> DataFrame:
-    """``lexicon_score`` for a lexicon of any size.
+    """``lexicon_score`` for a lexicon of any size, whatever the ids.
 
     Only weighted words and negations pass the join, and the previous such word
     of the same text decides on the sign. Texts without a hit score 0.
@@ -136,15 +136,16 @@ def lexicon_score_by_join(
         table = table.join(F.broadcast(flags), "word", "left_anti").unionByName(
             flags.withColumn("weight", F.lit(None).cast("long"))
         )
-    texts = df.select(F.col(id_col).alias("doc_id"), F.col(text).alias("_text"))
+    df = with_row_key(df)
+    texts = df.select(F.col(ROW).alias("doc_id"), F.col(text).alias("_text"))
     texts = compute_once(texts, {"tokens": tokenize(F.col("_text"))}).drop("_text")
     hits = join_by_word(texts, table, "word", "inner")
     if negations:
         flip = F.lag(F.col("weight").isNull(), 1, False).over(Window.partitionBy("doc_id").orderBy("pos"))
         hits = hits.withColumn("weight", F.when(flip, -F.col("weight")).otherwise(F.col("weight")))
-    scores = hits.groupBy(F.col("doc_id").alias(id_col)).agg(F.sum("weight").alias("_score"))
-    joined = df.join(scores, id_col, "left")
-    return joined.withColumn(score, F.coalesce("_score", F.lit(0)).cast("long")).drop("_score")
+    scores = hits.groupBy(F.col("doc_id").alias(ROW)).agg(F.sum("weight").alias("__found"))
+    joined = df.join(scores, ROW, "left")
+    return joined.withColumn(score, F.coalesce("__found", F.lit(0)).cast("long")).drop("__found", ROW)
 
 
 def sentiment_label(score: Column) -> Column:
