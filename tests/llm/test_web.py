@@ -98,3 +98,18 @@ def test_extract_keeps_rows(rows):
     assert sorted(map(tuple, extract(pages, "html", "text").select("page_id", "text").collect()), key=str) == sorted(
         [(1, ""), (2, "a"), (2, "a"), (None, "")], key=str
     )
+
+
+@pytest.mark.parametrize("html, want", [
+    ("<p>so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>4</mn></mrow><annotation>tex</annotation></semantics></math> holds", "so x=4 holds"),
+    ("<svg><title>t</title><defs/><style/><text x=1>Jan</text><text>Feb</text><path d='M0'/><defs><text>no</text></defs></svg><p>on", "Jan Feb\n\non"),
+    ("a <select><option>one<option selected>two<optgroup label=g><option>three</select> b", "a two b"),
+    ("a <select><option disabled>one<option>two</select> b <select></select>c", "a two b c"),
+    ("<select multiple><option>one<option>two</select>", "one\ntwo"),
+    ("<head><title>t</title> bare text <b>bold</b>", "bare text bold"),
+    ("<head> <meta><title>t</title> </head>x", "x"),
+    ("<div style='visibility: hidden'>no <b style='visibility:visible'>yes</b> no<p style='visibility:visible'>too</div>", "yes\n\ntoo"),
+    ("<div style='display:none'>no <b style='visibility:visible'>no</b></div><ul style='visibility:hidden'><li>no</ul>on", "on"),
+])
+def test_formulas_charts_forms_and_visibility(html, want):
+    assert render(html) == want

@@ -27,20 +27,27 @@ WIDEST = 60
 # Kinds of elements.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
 RAW = set("script style textarea title noscript template iframe xmp noembed noframes".split())
-UNSEEN = set("head script style title noscript template iframe noembed noframes object audio video canvas svg math datalist select".split())
+UNSEEN = set("head script style title noscript template iframe noembed noframes object audio video canvas datalist".split())
+#: What svg and math hold and do not show, and elements of theirs that stand apart.
+FOREIGN = {
+    "svg": set("defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter".split()),
+    "math": set("annotation annotation-xml mphantom".split()),
+}
+APART = {"svg": {"text"}, "math": {"mtd"}}
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl menu blockquote pre table figure fieldset".split())
 BLOCKS = SPACED | set(
     "html body div section article aside header footer nav main address center form details summary dialog dir hgroup legend "
-    "figcaption li dt dd hr tr td th thead tbody tfoot caption optgroup option search textarea xmp".split()
+    "figcaption li dt dd hr tr td th thead tbody tfoot caption optgroup option select search textarea xmp".split()
 )
 #: What a start tag ends, and the elements that this does not reach across.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir", "table"}), "dt": ({"dt", "dd"}, {"dl", "table"}), "dd": ({"dt", "dd"}, {"dl", "table"}),
     "tr": ({"tr", "td", "th", "caption"}, {"table"}), "td": ({"td", "th", "caption"}, {"table", "tr"}),
     "th": ({"td", "th", "caption"}, {"table", "tr"}), "option": ({"option"}, {"select", "datalist"}),
+    "optgroup": ({"option", "optgroup"}, {"select", "datalist"}), **dict.fromkeys(["select", "input", "textarea"], ({"select"}, {"table"})),
     **dict.fromkeys(["thead", "tbody", "tfoot"], ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"})),
 }
-P_ENDS = BLOCKS - {"td", "th", "tr", "thead", "tbody", "tfoot", "caption", "option", "optgroup", "html", "body", "legend"}
+P_ENDS = BLOCKS - {"td", "th", "tr", "thead", "tbody", "tfoot", "caption", "option", "optgroup", "select", "html", "body", "legend"}
 #: A start tag does not end a paragraph outside these.
 P_WALLS = {"td", "th", "table", "caption", "button", "object", "body"}
 
@@ -48,13 +55,14 @@ P_WALLS = {"td", "th", "table", "caption", "button", "object", "body"}
 class Block:
     """An open block: text and finished blocks in order."""
 
-    __slots__ = ("tag", "attrs", "parts", "rows", "unseen", "pre", "count")
+    __slots__ = ("tag", "attrs", "parts", "rows", "unseen", "pre", "count", "shown", "options")
 
-    def __init__(self, tag: str, attrs: dict, unseen: bool, pre: bool):
-        self.tag, self.attrs, self.unseen, self.pre = tag, attrs, unseen, pre
+    def __init__(self, tag: str, attrs: dict, unseen: bool, pre: bool, shown: bool = True):
+        self.tag, self.attrs, self.unseen, self.pre, self.shown = tag, attrs, unseen, pre, shown
         self.parts: list = []  # text, or (lines, blank lines around it)
         self.rows: list = []  # of a table: rows of (lines, columns)
         self.count = 0  # of list items
+        self.options: list = []  # of a select: (attributes or None for a group's label, lines)
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -68,7 +76,25 @@ def _hidden(tag: str, attrs: dict[str, str]) -> bool:
     if "hidden" in attrs or tag in UNSEEN or (tag == "dialog" and "open" not in attrs):
         return True
     style = re.sub(r"\s", "", attrs.get("style", "").lower())
-    return "display:none" in style or "visibility:hidden" in style or "visibility:collapse" in style
+    return "display:none" in style or (tag in ("tr", "thead", "tbody", "tfoot") and _visibility(attrs) == "collapse")
+
+
+def _visibility(attrs: dict[str, str]) -> str:
+    """What an element states for itself and for what is in it, or nothing."""
+    if "style" not in attrs:
+        return ""
+    found = re.findall(r"(?:^|;)visibility:([a-z]+)", re.sub(r"\s", "", attrs.get("style", "").lower()))
+    return found[-1] if found else ""
+
+
+def _chosen(options: list, attrs: dict[str, str]) -> list[str]:
+    """What a select shows: all options of a list box, else the last that is selected or the first that can be."""
+    if "multiple" in attrs or _number(attrs.get("size"), 0, 1000, 1) > 1:
+        return [x for _, lines in options for x in lines]
+    real = [(own, lines) for own, lines in options if own is not None]
+    selected = [lines for own, lines in real if "selected" in own]
+    free = [lines for own, lines in real if "disabled" not in own]
+    return selected[-1] if selected else free[0] if free else []
 
 
 def _number(text: str | None, low: int, high: int, default: int) -> int:
@@ -139,21 +165,36 @@ class Builder:
         self.blocks = [self.root]
         self.open: list[str] = []  # all open elements, inline ones too
         self.hidden: list[bool] = [False]  # whether what is in each open element is unseen
+        self.shown: list[bool] = [True]  # and whether it is visible, which an element in it can undo
         self.places: dict[str, list[int]] = {}  # of each open kind
 
     def push(self, tag: str, attrs: dict[str, str]) -> None:
-        unseen = self.hidden[-1] or _hidden(tag, attrs)
+        foreign = self.foreign()
+        unseen = self.hidden[-1] or _hidden(tag, attrs) or (foreign and (tag in FOREIGN[foreign] or attrs.get("display") == "none"))
+        states = _visibility(attrs) or (foreign and attrs.get("visibility"))
+        shown = states == "visible" if states in ("visible", "hidden", "collapse") else self.shown[-1]
         parent = self.blocks[-1]
         if parent.tag == "details" and "open" not in parent.attrs and tag != "summary":
             unseen = True
         self.places.setdefault(tag, []).append(len(self.open))
         self.open.append(tag)
-        self.hidden.append(unseen)
+        self.hidden.append(bool(unseen))
+        self.shown.append(shown)
         if tag in BLOCKS:
-            self.blocks.append(Block(tag, attrs, unseen, parent.pre or tag in ("pre", "xmp", "textarea")))
+            self.blocks.append(Block(tag, attrs, bool(unseen), parent.pre or tag in ("pre", "xmp", "textarea"), shown))
+
+    def foreign(self) -> str:
+        """Which of svg and math is the innermost that is open, if any; foreign objects hold HTML again."""
+        if not (self.places.get("svg") or self.places.get("math")):
+            return ""
+        last = {x: self.places[x][-1] for x in ("svg", "math", "foreignobject") if self.places.get(x)}
+        tag = max(last, key=last.get, default="")
+        return tag if tag in FOREIGN else ""
 
     def text(self, source: str) -> None:
-        if self.hidden[-1]:
+        if self.open and self.open[-1] == "head" and source.strip(" \t\n\r\f"):
+            self.end("head")
+        if self.hidden[-1] or not self.shown[-1]:
             return
         block = self.blocks[-1]
         if block.tag == "details" and "open" not in block.attrs:
@@ -188,7 +229,7 @@ class Builder:
                 self.blocks[-1].parts.append("\v")
         elif tag == "hr":
             self.blocks[-1].parts.append(([], 0))
-        elif tag == "input" and not self.hidden[-1] and not _hidden(tag, attrs):
+        elif tag == "input" and not self.hidden[-1] and self.shown[-1] and not _hidden(tag, attrs) and _visibility(attrs) in ("", "visible"):
             if attrs.get("type", "").lower() in ("submit", "button", "reset"):
                 self.blocks[-1].parts.append(f" {attrs.get('value', '')} ")
         elif tag not in VOID:
@@ -208,8 +249,12 @@ class Builder:
     def close(self, down_to: int) -> None:
         while len(self.open) > down_to:
             tag = self.open.pop()
-            self.hidden.pop()
             self.places[tag].pop()
+            foreign = self.foreign()
+            if foreign and tag in APART[foreign] and not self.hidden[-1]:
+                self.blocks[-1].parts.append(" ")
+            self.hidden.pop()
+            self.shown.pop()
             if tag in BLOCKS:
                 self.finish(self.blocks.pop())
 
@@ -219,6 +264,8 @@ class Builder:
             parent.parts.append(([], 0)) if not parent.unseen else None
             return
         tag = block.tag
+        if tag in ("option", "optgroup", "select") and self.select(block, parent):
+            return
         if tag in ("td", "th") and parent.tag == "tr":
             parent.rows.append((_lines(block), _number(block.attrs.get("colspan"), 1, 1000, 1)))
             return
@@ -237,6 +284,7 @@ class Builder:
             parent.count += 1
             first = _number(parent.attrs.get("start"), -(10**9), 10**9, 1)
             mark = f"{_number(block.attrs.get('value'), -(10**9), 10**9, first + parent.count - 1)}. " if parent.tag == "ol" else "- "
+            mark = mark if block.shown else ""
             own = [mark + own[0], *((" " * len(mark) + x if x else x) for x in own[1:])] if own else []
         elif tag in ("dd", "blockquote"):
             own = [f"  {x}" if x else x for x in own]
@@ -244,6 +292,23 @@ class Builder:
         parent.parts.append((own, 1 if tag in SPACED and not nested else 0))
 
 
+    def select(self, block: Block, parent: Block) -> bool:
+        """Hands options to the select around them, and what a select shows to its parent."""
+        if block.tag != "select" and parent.tag not in ("select", "optgroup"):
+            return False
+        label = block.attrs.get("label", "").strip()
+        if block.tag == "option":
+            parent.options.append((block.attrs, [label] if label and block.shown else _lines(block)))
+        elif block.tag == "optgroup":
+            off = {"disabled": ""} if "disabled" in block.attrs else {}
+            parent.options += [(None, [label])] * bool(label and block.shown)
+            parent.options += [(own if own is None else own | off, lines) for own, lines in block.options]
+        else:
+            own = _chosen(block.options, block.attrs)
+            parent.parts.append((own, 0) if len(own) > 1 else f" {own[0]} " if own else " ")
+        return True
+
+
 def render(html: str) -> str:
     """The visible text of a page. Markup that is cut off at the end counts as text."""
     builder = Builder()
@@ -265,6 +330,8 @@ def render(html: str) -> str:
         if found["end"]:
             builder.end(tag)
             continue
+        if tag not in VOID and found["attrs"].endswith("/") and builder.foreign():
+            continue  # empty
         builder.start(tag, _attributes(found["attrs"]) if found["attrs"].strip(" /") else {})
         if tag in RAW:
             stop = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(html, at)
