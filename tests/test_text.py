@@ -169,3 +169,68 @@ def test_joined_lookup_keeps_rows_with_null_and_repeated_ids(rows):
         df = rows(data, f"doc_id int, {name} array<string>")
         assert as_list(joins.map_tokens_by_join(df, name, table, "word", "formal")) == as_list(joins.map_tokens(df, name, table, "word", "formal"))
         assert as_list(joins.drop_tokens_by_join(df, name, stop, "word")) == as_list(joins.drop_tokens(df, name, stop, "word"))
+
+
+@pytest.mark.parametrize("most", [joins.MAX_BROADCAST_BYTES, 0])
+def test_dictionaries_over_the_broadcast_bound_give_the_same(spark, rows, monkeypatch, most):
+    """Behind a Bloom filter, with and without salts; copies of a text, null and empty ones among them."""
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", most)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(40)]
+    data = [(i % 30, [rng.choice(words) for _ in range(rng.randint(0, 40))]) for i in range(120)] + [(None, None), (1, []), (2, ["w1"]), (2, ["w1"])]
+    entries = {w: w.upper() for w in words[::3]}
+    table = rows([*entries.items(), (None, "x"), ("w2", None)], "word string, formal string")
+    df = rows(data, "doc_id int, words array<string>")
+    as_list = lambda x: sorted(map(repr, map(tuple, x.collect())))
+    want = sorted(repr((i, t if t is None else [entries.get(w, w) for w in t])) for i, t in data)
+    dropped = sorted(repr((i, t if t is None else [w for w in t if w not in entries and len(w) >= 3])) for i, t in data)
+    for salts in (None, {"w3": 5}):
+        assert as_list(joins.map_tokens_by_join(df, "words", table, "word", "formal", salts=salts)) == want
+        stop = table.where("formal IS NOT NULL")
+        assert as_list(joins.drop_tokens_by_join(df, "words", stop, "word", 3, salts=salts)) == dropped
+
+
+def test_word_filter_passes_all_its_words_and_few_others(spark):
+    words = spark.range(3000).select(F.concat(F.lit("w"), "id").alias("word"))
+    other = spark.range(3000).select(F.concat(F.lit("v"), "id").alias("word"))
+    for rows_, least in ((3000, 2900), (1, 0)):
+        known = joins.WordFilter(words, "word", rows_)
+        assert words.where(known.may_hold(F.col("word"))).count() == 3000
+        assert other.where(~known.may_hold(F.col("word"))).count() >= least
+
+
+def test_operators_leave_columns_of_any_name(spark, rows):
+    names = ["__tokens", "__light", "__found", "__text", "_tokens", "_light", "_keep", "_clean", "__row"]
+    df = rows([(1, "aku gak suka ini", *names)], f"doc_id int, text string, {', '.join(n + ' string' for n in names)}")
+    tables = default_tables(spark)
+    tables.profiles = train_profiles(rows([("id", "saya makan nasi"), ("en", "the weather")], "lang string, text string"))
+    got = pp.preprocess(df, tables).first()
+    assert [got[n] for n in names] == names and got.light_text == "aku tidak suka ini"
+
+
+def test_default_tables_stem_and_detect(spark, rows):
+    """The embedded roots and rules stem; profiles come from texts that state their language."""
+    known = [("id", "saya makan nasi goreng di warung bersama teman"), ("id", "kami pergi belajar di sekolah"),
+             ("en", "the weather was very nice today"), ("en", "they went through the whole thing"), (None, "?")] * 3
+    tables = default_tables(spark, rows(known, "lang string, text string"))
+    texts = [(1, "panitia membantu kekecewaan pendaftaran beasiswanya"), (None, "weather whole through thing"), (None, "makan nasi bersama teman")]
+    got = {r.text: r.processed_text for r in pp.preprocess(rows(texts, "doc_id int, text string"), tables).collect()}
+    assert got[texts[0][1]].split()[1:] == ["bantu", "kecewa", "daftar", "beasiswanya"]
+    assert got[texts[1][1]] == "" and got[texts[2][1]] == "makan nasi bersama teman"
+    assert default_tables(spark, rows([("id", "saya")], "lang string, text string")).profiles is None
+
+
+def test_order_of_affixes_around_a_root(rows):
+    """Prefixes go first in such words, and a suffix that its prefix cannot have belongs to the root."""
+    roots = rows([(w,) for w in ["beri", "ber", "sekolah", "seko", "tandai", "tanda", "kirim", "dian"]], "word string")
+    words = rows([(w,) for w in ["diberi", "sekolah", "menandai", "dikirimi", "didian"]], "word string")
+    got = {r.word: r.stem for r in build_stems(words, roots, INDONESIAN).collect()}
+    assert got == {"diberi": "beri", "menandai": "tandai", "dikirimi": "kirim", "didian": "dian"}
+
+
+def test_language_of_rows_with_null_and_repeated_ids(rows):
+    profiles = train_profiles(rows([("x", "aaa bbb"), ("y", "ccc ddd")], "lang string, text string"))
+    df = rows([(None, "aaa"), (None, "ccc ccc"), (1, "ddd ccc"), (1, "aaa"), (1, "aaa"), (2, None)], "doc_id int, text string")
+    got = ngram_language_id(df, profiles).collect()
+    assert sorted(str((r.doc_id, r.lang_pred)) for r in got) == sorted(str(x) for x in [(None, "x"), (None, "y"), (1, "y"), (1, "x"), (1, "x")])
+    assert len({r.score for r in got if (r.doc_id, r.lang_pred) == (1, "x")}) == 1

@@ -1,12 +1,15 @@
-"""Token tables and the joins used for dictionaries over the literal bound.
+"""Looking up the words of texts in dictionaries of any size.
 
-A single frequent word can hold a third of all tokens, so a shuffle by word must
-not send each word to one task. Words are counted over all texts, and frequent
-ones get salts in proportion to their share, rare words get none. Salts only
-decide how the work is spread, never what is joined.
+Up to 50 000 entries a dictionary is a constant of the expression and texts do not move (``functions.lookup``). Larger
+ones are joined by word:
 
-Texts are told apart by a key of their own, written with their rows, so that ids
-may be null or repeat.
+- Up to ``MAX_BROADCAST_BYTES``, which are measured, the dictionary goes to the tokens.
+- Beyond, tokens go to the dictionary, but only those that pass a Bloom filter of its words, built by an aggregate and
+  sized by its rows. Both sides of that join are shuffled by word, so that Spark splits a word that many texts share.
+  A stream's batches, where it does not, give such words salts (``frequent_words``).
+
+Only what was found goes back to the texts: per text, its places and values. A text is told by a hash of its words, so
+ids may be null or repeat and texts need not be written to get a key; copies of a text get one answer.
 """
 
 from __future__ import annotations
@@ -14,18 +17,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidesift.functions.lookup import LiteralMap, small_map, small_set
+from tidesift.functions.names import free
 from tidesift.functions.once import compute_once
-from tidesift.sources.scratch import stage
 
+#: Bytes of a dictionary, with ``ENTRY_BYTES`` for each entry besides its texts, that may be broadcast.
+MAX_BROADCAST_BYTES = 64 << 20
+ENTRY_BYTES = 64
+#: Entries for each 64-bit word of a Bloom filter, and most such words (16 MB). Beyond, more tokens pass; none is lost.
+PER_BLOCK, MAX_BLOCKS = 4, 1 << 21
 # Salts per average partition's worth of tokens.
 SALTS_PER_PARTITION = 4
-# The key of a text.
-ROW = "__row"
-
 
-def with_row_key(df: DataFrame) -> DataFrame:
-    """The rows with a key of their own, which stays the same however often they are read."""
-    return stage(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+_CHUNK = 4096
 
 
 def explode_tokens(df: DataFrame, tokens: str = "tokens", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -48,25 +51,93 @@ def frequent_words(df: DataFrame, tokens: str, partitions: int) -> dict[str, int
     return {r["word"]: -(-r["n"] * SALTS_PER_PARTITION * partitions // r["total"]) for r in hot}
 
 
-def join_by_word(df: DataFrame, table: DataFrame, word: str, how: str, tokens: str = "tokens") -> DataFrame:
-    """Token rows ``(doc_id, pos, token)`` of the texts, joined to a table of unique words of any size."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salts = LiteralMap(frequent_words(df, tokens, partitions), "int")
-    of_word = lambda c: F.coalesce(salts.get(c), F.lit(1))
-    left = explode_tokens(df, tokens)
-    left = left.withColumn("salt", F.pmod(F.xxhash64("doc_id", "pos"), of_word(F.col("token"))).cast("int"))
-    right = table.withColumn("salt", F.explode(F.sequence(F.lit(0), of_word(F.col(word)) - 1)))
+def text_key(tokens: Column) -> Column:
+    """128 bits that tell texts apart; tokens hold no 0x1f, which is white space."""
+    return F.substring(F.unhex(F.sha2(F.array_join(tokens, "\x1f"), 256)), 1, 16)
+
+
+def table_size(table: DataFrame) -> tuple[int, int]:
+    """Rows of a dictionary, and about the bytes they take in memory."""
+    own = [F.octet_length(f.name) if f.dataType.typeName() == "string" else F.lit(16) for f in table.schema.fields]
+    texts = sum((F.coalesce(c, F.lit(0)) for c in own), F.lit(0))
+    rows, size = table.agg(F.count("*"), F.sum(texts)).first()
+    return rows, (size or 0) + ENTRY_BYTES * rows
+
+
+class WordFilter:
+    """A Bloom filter of a table's words, as one array that Spark computes once per query.
+
+    A word sets four bits of one 64-bit block.
+    """
+
+    def __init__(self, table: DataFrame, word: str, rows: int):
+        self.blocks = min(MAX_BLOCKS, max(1, -(-rows // PER_BLOCK)))
+        set_ = table.select(self._block(F.col(word)).alias("block"), self._mask(F.col(word)).alias("mask"))
+        whole = table.sparkSession.range(self.blocks).select(F.col("id").alias("block"))
+        masks = set_.groupBy("block").agg(F.bit_or("mask").alias("mask"))
+        filled = whole.join(masks, "block", "left").withColumn("mask", F.coalesce("mask", F.lit(0).cast("long")))
+        values = lambda c: F.transform(F.sort_array(F.collect_list(F.struct("block", c))), lambda s: s[c])
+        chunks = filled.groupBy(F.floor(F.col("block") / _CHUNK).alias("chunk")).agg(values("mask").alias("masks"))
+        chunks = chunks.withColumnRenamed("chunk", "block")
+        self.bits = chunks.agg(F.flatten(values("masks")).alias("bits"))
+
+    def _block(self, word: Column) -> Column:
+        return F.pmod(F.xxhash64(word, F.lit("block")), F.lit(self.blocks)).cast("int")
+
+    @staticmethod
+    def _mask(word: Column) -> Column:
+        h = F.xxhash64(word, F.lit("bits"))
+        bit = lambda at: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(h, at).bitwiseAND(F.lit(63).cast("long")).cast("int"))
+        return bit(0).bitwiseOR(bit(6)).bitwiseOR(bit(12)).bitwiseOR(bit(18))
+
+    def may_hold(self, word: Column) -> Column:
+        mask = self._mask(word)
+        return F.get(self.bits.scalar(), self._block(word)).bitwiseAND(mask) == mask
+
+
+def hits(texts: DataFrame, tokens: str, table: DataFrame, word: str, salts: dict[str, int] | None = None) -> DataFrame:
+    """``text, pos, found``: the places of the texts' tokens that the table holds, ``found`` being its other columns.
+
+    ``table`` has unique words. A text that occurs several times may give a place several times.
+    """
+    rows, size = table_size(table)
+    values = [c for c in table.columns if c != word]
+    right = table.select(F.col(word).alias("token"), F.struct(*values).alias("found") if values else F.lit(True).alias("found"))
+    left = compute_once(texts.select(F.col(tokens).alias("tokens")), {"tokens": F.col("tokens")})
+    left = left.select(text_key(F.col("tokens")).alias("text"), F.posexplode("tokens").alias("pos", "token"))
+    if size <= MAX_BROADCAST_BYTES:
+        return left.join(F.broadcast(right), "token").select("text", "pos", "found")
+    left = left.where(WordFilter(right, "token", rows).may_hold(F.col("token")))
+    by = ["token"]
+    if salts:
+        n = LiteralMap(salts, "int")
+        of_word = F.coalesce(n.get(F.col("token")), F.lit(1))
+        left = left.withColumn("salt", F.pmod(F.xxhash64("text", "pos"), of_word).cast("int"))
+        right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), of_word - 1)))
+        by.append("salt")
     # Spark guesses the size of the tokens from that of the files, and might broadcast them.
-    return left.join(right.withColumnRenamed(word, "token").hint("merge"), ["token", "salt"], how).drop("salt")
+    return left.join(right.hint("merge"), by).select("text", "pos", "found")
+
 
+def back_to_texts(df: DataFrame, tokens: str, found: DataFrame, name: str) -> DataFrame:
+    """The rows with a column of what was found in their text: sorted ``(pos, found)``, null where there is nothing."""
+    key, other = free(df, "__text", "__other")
+    grouped = found.groupBy(F.col("text").alias(other)).agg(F.sort_array(F.collect_set(F.struct("pos", "found"))).alias(name))
+    keyed = compute_once(df, {tokens: F.col(tokens)}).withColumn(key, text_key(F.col(tokens)))
+    return keyed.join(grouped, F.col(key) == F.col(other), "left").select(*df.columns, name)
 
-def _regroup(df: DataFrame, long: DataFrame, tokens: str) -> DataFrame:
-    """Puts token rows back into each text, in order; texts left without any get an empty array, null ones stay null."""
-    words = long.groupBy(F.col("doc_id").alias(ROW)).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("__found")
-    )
-    found = F.coalesce("__found", F.array().cast("array<string>"))
-    return df.join(words, ROW, "left").withColumn(tokens, F.when(F.col(tokens).isNotNull(), found)).drop("__found", ROW)
+
+def _replace(df: DataFrame, tokens: str, found: str, value: str | None) -> DataFrame:
+    """Puts the found ``value`` in the place of its token, or without one drops the tokens found."""
+    put = (lambda f: f["found"][value]) if value else (lambda f: F.lit(None).cast("string"))
+    own = F.transform(tokens, lambda x, i: F.struct(i.alias("pos"), F.lit(0).alias("k"), x.alias("token")))
+    new = F.transform(found, lambda f: F.struct(f["pos"].alias("pos"), F.lit(1).alias("k"), put(f).alias("token")))
+    (both,) = free(df, "__both")
+    merged = F.when(F.col(found).isNull(), own).otherwise(F.sort_array(F.concat(own, new)))
+    out = compute_once(df, {both: merged})
+    last = lambda x, i: F.coalesce(F.get(both, i + 1)["pos"] != x["pos"], F.lit(True))
+    kept = F.filter(both, last if value else lambda x, i: (x["k"] == 0) & last(x, i))
+    return out.withColumn(tokens, F.transform(kept, lambda x: x["token"])).drop(both, found)
 
 
 def map_tokens(df: DataFrame, tokens: str, table: DataFrame, word: str, value: str, id_col: str = "doc_id") -> DataFrame:
@@ -79,14 +150,12 @@ def map_tokens(df: DataFrame, tokens: str, table: DataFrame, word: str, value: s
 
 
 def map_tokens_by_join(
-    df: DataFrame, tokens: str, table: DataFrame, word: str, value: str, id_col: str = "doc_id"
+    df: DataFrame, tokens: str, table: DataFrame, word: str, value: str, id_col: str = "doc_id", salts: dict[str, int] | None = None
 ) -> DataFrame:
     """``map_tokens`` for a table of any size, whatever the ids."""
-    df = with_row_key(df)
-    texts = df.select(F.col(ROW).alias("doc_id"), tokens)
-    hit = join_by_word(texts, table.select(word, F.col(value).alias("_value")), word, "left", tokens)
-    long = hit.select("doc_id", "pos", F.coalesce("_value", "token").alias("token"))
-    return _regroup(df, long, tokens)
+    (found,) = free(df, "__found")
+    known = table.select(word, value).where(F.col(word).isNotNull() & F.col(value).isNotNull())
+    return _replace(back_to_texts(df, tokens, hits(df, tokens, known, word, salts), found), tokens, found, value)
 
 
 def drop_tokens(
@@ -101,14 +170,13 @@ def drop_tokens(
 
 
 def drop_tokens_by_join(
-    df: DataFrame, tokens: str, table: DataFrame, word: str = "word", min_len: int = 1, id_col: str = "doc_id"
+    df: DataFrame, tokens: str, table: DataFrame, word: str = "word", min_len: int = 1, id_col: str = "doc_id", salts: dict[str, int] | None = None
 ) -> DataFrame:
     """``drop_tokens`` for a table of any size, whatever the ids."""
-    df = with_row_key(df)
-    long_enough = F.filter(tokens, lambda x: F.char_length(x) >= min_len).alias(tokens)
-    texts = df.select(F.col(ROW).alias("doc_id"), long_enough)
-    long = join_by_word(texts, table.select(word).distinct(), word, "left_anti", tokens)
-    return _regroup(df, long, tokens)
+    (found,) = free(df, "__found")
+    df = df.withColumn(tokens, F.filter(tokens, lambda x: F.char_length(x) >= min_len))
+    known = table.select(word).where(F.col(word).isNotNull()).distinct()
+    return _replace(back_to_texts(df, tokens, hits(df, tokens, known, word, salts), found), tokens, found, None)
 
 
 def word_counts(df: DataFrame, tokens: Column | str, by: tuple[str, ...] = ()) -> DataFrame:

@@ -6,12 +6,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidesift.functions.once import compute_once
 from tidesift.functions.text import case_fold, filter_text, tokenize
-from tidesift.operators.joins import explode_tokens, word_counts
+from tidesift.operators.joins import hits, table_size, text_key, word_counts
 from tidesift.sources.scratch import stage
 
-# Scores (n-grams times languages) that may be broadcast: some 30 MB.
-MAX_BROADCAST_SCORES = 2_000_000
+# N-grams whose scores may be broadcast, by their measured bytes: some 30 MB.
+MAX_BROADCAST_SCORES, SCORE_BYTES = 300_000, 100
 GRAM = 3
 # Log probabilities are held in whole millionths, so sums do not depend on order.
 SCALE = 1_000_000
@@ -77,46 +78,45 @@ def train_profiles(df: DataFrame, lang: str = "lang", text: str = "text") -> Lan
     return LanguageProfiles(languages, unseen, grams)
 
 
+def word_scores(words: DataFrame, profiles: LanguageProfiles) -> DataFrame:
+    """``word`` with the sum of its n-grams' scores in each language, ``s0`` and so on; each word is cut up once."""
+    grams = words.select("word", F.explode(word_grams(F.col("word"))).alias("gram"))
+    names = [f"s{k}" for k in range(len(profiles.languages))]
+    scores = profiles.grams.select("gram", *[F.get("scores", F.lit(k)).alias(s) for k, s in enumerate(names)])
+    small = table_size(scores)[1] <= MAX_BROADCAST_SCORES * SCORE_BYTES
+    met = grams.join(F.broadcast(scores) if small else scores.hint("merge"), "gram", "left")
+    return met.groupBy("word").agg(*[F.sum(F.coalesce(s, F.lit(u))).alias(s) for s, u in zip(names, profiles.unseen)])
+
+
+def text_languages(texts: DataFrame, tokens: str, profiles: LanguageProfiles) -> DataFrame:
+    """``text, lang_pred, score`` of each different text with at least one word; ``text`` is its key (``joins.text_key``).
+
+    N-grams are looked up once per different word of all texts, and a text adds up its words. Equal texts
+    are one: each word's sums count as often as the text's first word does, and are divided by that.
+    """
+    if not profiles.languages:
+        return texts.select(text_key(F.col(tokens)).alias("text"), F.lit(None).cast("string").alias("lang_pred"), F.lit(0).cast("long").alias("score")).limit(0)
+    scored = stage(word_scores(word_counts(texts, tokens).select("word"), profiles), "word-scores")
+    found = hits(texts, tokens, scored, "word")
+    names = [f"s{k}" for k in range(len(profiles.languages))]
+    copies = F.sum((F.col("pos") == 0).cast("long"))
+    sums = found.groupBy("text").agg(copies.alias("copies"), *[F.sum(F.col("found")[s]).alias(s) for s in names])
+    order = [
+        F.struct(F.call_function("div", F.col(s), F.col("copies")).alias("score"), F.lit(-k).alias("order"), F.lit(l).alias("lang"))
+        for k, (s, l) in enumerate(zip(names, profiles.languages))
+    ]
+    best = F.array_max(F.array(*order))
+    return sums.select("text", best.alias("best")).select("text", F.col("best.lang").alias("lang_pred"), F.col("best.score").alias("score"))
+
+
 def ngram_language_id(
     df: DataFrame, profiles: LanguageProfiles, text: str = "text", id_col: str = "doc_id", cleaned: bool = False
 ) -> DataFrame:
-    """``(id, lang_pred, score)`` of each text with at least one word.
+    """``(id, lang_pred, score)`` of each row whose text has at least one word, whatever the ids.
 
-    Ties go to the language first in alphabetical order. All words of a text lie
-    in one task, so only one row per text is shuffled when the profiles are small
-    enough to broadcast; larger ones are joined by salted n-gram.
+    Ties go to the language first in alphabetical order.
     """
     clean = F.col(text) if cleaned else case_fold(filter_text(F.col(text)))
-    words = explode_tokens(df.select(id_col, tokenize(clean, squeezed=True).alias("_words")), "_words", (id_col,))
-    rows = words.select(id_col, F.explode(word_grams(F.col("token"))).alias("gram"))
-    bound = MAX_BROADCAST_SCORES // len(profiles.languages)
-    columns = [F.coalesce(F.get("scores", F.lit(k)), F.lit(u)).alias(f"_s{k}") for k, u in enumerate(profiles.unseen)]
-    scores = profiles.grams.select("gram", *columns)
-    if profiles.grams.limit(bound + 1).count() <= bound:
-        hits = rows.join(F.broadcast(scores), "gram", "left")
-    else:
-        # Counting per text and n-gram first keeps the shuffle by n-gram small;
-        # the salt comes from the text, so a frequent n-gram meets many tasks.
-        rows = rows.groupBy(id_col, "gram").agg(F.count("*").alias("_n"))
-        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        salted = rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int"))
-        table = scores.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        hits = salted.join(table, ["gram", "_salt"], "left")
-    times = F.col("_n") if "_n" in hits.columns else F.lit(1)
-    sums = hits.groupBy(id_col).agg(
-        *[
-            F.sum(F.coalesce(f"_s{k}", F.lit(u)) * times).alias(f"_s{k}")
-            for k, u in enumerate(profiles.unseen)
-        ]
-    )
-    best = F.array_max(
-        F.array(
-            *[
-                F.struct(F.col(f"_s{k}").alias("score"), F.lit(-k).alias("order"), F.lit(l).alias("lang"))
-                for k, l in enumerate(profiles.languages)
-            ]
-        )
-    )
-    return sums.select(id_col, best.alias("_best")).select(
-        id_col, F.col("_best.lang").alias("lang_pred"), F.col("_best.score").alias("score")
-    )
+    texts = compute_once(df.select(id_col, clean.alias("__clean")), {"__words": tokenize(F.col("__clean"), squeezed=True)})
+    rows = texts.where(F.size("__words") > 0).select(id_col, text_key(F.col("__words")).alias("text"))
+    return rows.join(text_languages(texts, "__words", profiles), "text").select(id_col, "lang_pred", "score")

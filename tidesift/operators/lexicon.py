@@ -6,12 +6,13 @@ weight is the polarity.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, Window
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidesift.functions.lookup import LiteralMap, LiteralSet, small_map
+from tidesift.functions.names import free
 from tidesift.functions.once import compute_once
 from tidesift.functions.text import tokenize
-from tidesift.operators.joins import ROW, explode_tokens, join_by_word, with_row_key
+from tidesift.operators.joins import back_to_texts, hits
 from tidesift.sources.local import local_frame
 
 # Class names, in alphabetical order.
@@ -74,13 +75,16 @@ def lexicon_stats(positive: DataFrame, negative: DataFrame, lexicon: DataFrame)
 
 
 def _score_expression(tokens: Column, weights: LiteralMap, negations: LiteralSet | None) -> Column:
-    """Folds over the tokens that matter; null stands for a negation word."""
-    zero = F.lit(0).cast("long")
+    """Folds over the tokens that matter."""
     weight = lambda t: F.coalesce(weights.get(t), F.lit(0)).cast("long")
     if negations is None:
-        return F.aggregate(F.transform(tokens, weight), zero, lambda s, w: s + w)
+        return F.aggregate(F.transform(tokens, weight), F.lit(0).cast("long"), lambda s, w: s + w)
     marked = F.transform(tokens, lambda t: F.when(~negations.contains(t), weight(t)))
-    marked = F.filter(marked, lambda w: w.isNull() | (w != 0))
+    return _fold(F.filter(marked, lambda w: w.isNull() | (w != 0)))
+
+
+def _fold(marked: Column) -> Column:
+    """The sum of weights in order, where null, a negation word, turns the sign of the next one."""
 
     def step(state: Column, w: Column) -> Column:
         signed = F.when(state["flip"], -w).otherwise(w)
@@ -88,7 +92,7 @@ def _score_expression(tokens: Column, weights: LiteralMap, negations: LiteralSet
             F.coalesce(state["score"] + signed, state["score"]).alias("score"), w.isNull().alias("flip")
         )
 
-    start = F.struct(zero.alias("score"), F.lit(False).alias("flip"))
+    start = F.struct(F.lit(0).cast("long").alias("score"), F.lit(False).alias("flip"))
     return F.aggregate(marked, start, step, lambda state: state["score"])
 
 
@@ -122,6 +126,7 @@ def lexicon_score_by_join(
     text: str = "light_text",
     id_col: str = "doc_id",
     score: str = "score",
+    salts: dict[str, int] | None = None,
 ) -> DataFrame:
     """``lexicon_score`` for a lexicon of any size, whatever the ids.
 
@@ -136,16 +141,11 @@ def lexicon_score_by_join(
         table = table.join(F.broadcast(flags), "word", "left_anti").unionByName(
             flags.withColumn("weight", F.lit(None).cast("long"))
         )
-    df = with_row_key(df)
-    texts = df.select(F.col(ROW).alias("doc_id"), F.col(text).alias("_text"))
-    texts = compute_once(texts, {"tokens": tokenize(F.col("_text"))}).drop("_text")
-    hits = join_by_word(texts, table, "word", "inner")
-    if negations:
-        flip = F.lag(F.col("weight").isNull(), 1, False).over(Window.partitionBy("doc_id").orderBy("pos"))
-        hits = hits.withColumn("weight", F.when(flip, -F.col("weight")).otherwise(F.col("weight")))
-    scores = hits.groupBy(F.col("doc_id").alias(ROW)).agg(F.sum("weight").alias("__found"))
-    joined = df.join(scores, ROW, "left")
-    return joined.withColumn(score, F.coalesce("__found", F.lit(0)).cast("long")).drop("__found", ROW)
+    tokens, found = free(df, "__tokens", "__found")
+    texts = compute_once(df, {tokens: tokenize(F.col(text))})
+    scored = back_to_texts(texts, tokens, hits(texts, tokens, table, "word", salts), found)
+    total = _fold(F.transform(found, lambda f: f["found"]["weight"]))
+    return scored.withColumn(score, F.coalesce(total, F.lit(0).cast("long"))).select(*[c for c in df.columns if c != score], score)
 
 
 def sentiment_label(score: Column) -> Column:

@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidesift.functions import text as tx
 from tidesift.functions.lookup import LiteralSet
+from tidesift.functions.names import free
 from tidesift.functions.once import compute_once
-from tidesift.operators.joins import drop_tokens, map_tokens
-from tidesift.operators.langid import LanguageProfiles, ngram_language_id
+from tidesift.operators.joins import drop_tokens, map_tokens, text_key
+from tidesift.operators.langid import LanguageProfiles, text_languages, train_profiles
+from tidesift.operators.stems import INDONESIAN, AffixRules, stem_tokens
 from tidesift.sources import wordlists
 
 MIN_WORD = 2
@@ -22,7 +24,10 @@ MIN_WORD = 2
 
 @dataclass
 class TextTables:
-    """Word tables of the preprocessing steps."""
+    """Word tables of the preprocessing steps.
+
+    ``affixes`` stem the words that ``stems`` does not hold, checked against ``roots``.
+    """
 
     word_map: DataFrame
     stopwords: DataFrame
@@ -31,12 +36,24 @@ class TextTables:
     negations: list[str] = field(default_factory=lambda: list(wordlists.NEGATIONS))
     language: str = "id"
     profiles: LanguageProfiles | None = None
+    roots: DataFrame | None = None
+    affixes: AffixRules | None = None
+
 
+def default_tables(spark: SparkSession, known: DataFrame | None = None, text: str = "text", lang: str = "lang") -> TextTables:
+    """The embedded tables, with affix rules and root words.
 
-def default_tables(spark: SparkSession) -> TextTables:
-    return TextTables(
-        wordlists.map_frame(spark, wordlists.WORD_MAP), wordlists.words_frame(spark, wordlists.STOPWORDS)
-    )
+    ``known`` holds texts with their languages, such as the rows themselves where they state one: language
+    profiles are learnt from it. Without it, or with one language only, no text is refused for its language.
+    """
+    out = TextTables(
+        wordlists.map_frame(spark, wordlists.WORD_MAP), wordlists.words_frame(spark, wordlists.STOPWORDS),
+        roots=wordlists.words_frame(spark, wordlists.ROOTS), affixes=INDONESIAN,
+    )
+    if known is not None:
+        profiles = train_profiles(known, lang, text)
+        out.profiles = profiles if len(profiles.languages) > 1 else None
+    return out
 
 
 def language_heuristic(tokens: Column, strong: list[str]) -> Column:
@@ -48,12 +65,12 @@ def language_heuristic(tokens: Column, strong: list[str]) -> Column:
     return (F.size(tokens) < 3) | (F.size(F.filter(tokens, words.contains)) >= 2)
 
 
-def _tokens(df: DataFrame, text: str) -> DataFrame:
+def _tokens(df: DataFrame, text: str, tokens: str) -> DataFrame:
     clean = tx.case_fold(tx.filter_text(F.col(text)))
-    return compute_once(df, {"_tokens": tx.tokenize(clean, squeezed=True)})
+    return compute_once(df, {tokens: tx.tokenize(clean, squeezed=True)})
 
 
-def _keep_language(df: DataFrame, tables: TextTables, id_col: str) -> DataFrame:
+def _keep_language(df: DataFrame, tables: TextTables, tokens: str) -> DataFrame:
     """Empties the tokens of texts in another language.
 
     Only texts the heuristic leaves open are scored by the n-gram profiles;
@@ -61,17 +78,25 @@ def _keep_language(df: DataFrame, tables: TextTables, id_col: str) -> DataFrame:
     """
     if tables.profiles is None:
         return df
-    kept = df.withColumn("_keep", language_heuristic(F.col("_tokens"), tables.strong))
+    keep, key, other, lang = free(df, "__keep", "__text", "__other", "__lang")
+    kept = df.withColumn(keep, language_heuristic(F.col(tokens), tables.strong))
     # Read from the input a second time: the two branches share no shuffle,
     # and the decided texts take no part in the join.
-    open_ = kept.filter(~F.col("_keep")).withColumn("_clean", F.array_join("_tokens", " "))
-    langs = ngram_language_id(open_, tables.profiles, "_clean", id_col, cleaned=True)
-    found = open_.drop("_clean", "_keep").join(langs.select(id_col, "lang_pred"), id_col, "left")
+    open_ = kept.filter(~F.col(keep))
+    langs = text_languages(open_.select(tokens), tokens, tables.profiles)
+    langs = langs.select(F.col("text").alias(other), F.col("lang_pred").alias(lang))
+    found = open_.withColumn(key, text_key(F.col(tokens))).join(langs, F.col(key) == F.col(other), "left")
     # A text without any n-gram cannot be judged, and is kept.
-    is_kept = F.coalesce(F.col("lang_pred") == tables.language, F.lit(True))
-    kept = kept.filter("_keep").unionByName(found.withColumn("_keep", is_kept).drop("lang_pred"))
+    found = found.withColumn(keep, F.coalesce(F.col(lang) == tables.language, F.lit(True)))
+    kept = kept.filter(keep).unionByName(found.select(kept.columns))
     empty = F.array().cast("array<string>")
-    return kept.withColumn("_tokens", F.when(F.col("_keep"), F.col("_tokens")).otherwise(empty)).drop("_keep")
+    return kept.withColumn(tokens, F.when(F.col(keep), F.col(tokens)).otherwise(empty)).drop(keep)
+
+
+def _stemmed(df: DataFrame, tables: TextTables, tokens: str, id_col: str) -> DataFrame:
+    if tables.affixes is not None and tables.roots is not None:
+        return stem_tokens(df, tokens, tables.roots, tables.affixes, tables.stems, id_col)
+    return df if tables.stems is None else map_tokens(df, tokens, tables.stems, "word", "stem", id_col)
 
 
 def preprocess(
@@ -87,23 +112,23 @@ def preprocess(
 
     A text that is empty, or that the tables' language profiles find in another
     language, gets empty texts. Give None for one that is not wanted. Null texts
-    count as empty.
+    count as empty. Ids may be null or repeat.
     """
-    out = _tokens(df, text)
+    tokens, short = free(df, "__tokens", "__light")
+    out = _tokens(df, text, tokens)
     if filter_lang:
-        out = _keep_language(out, tables, id_col)
-    out = map_tokens(out, "_tokens", tables.word_map, "word", "formal", id_col)
-    out = compute_once(out, {"_light": F.trim(F.array_join("_tokens", " "))})
+        out = _keep_language(out, tables, tokens)
+    out = map_tokens(out, tokens, tables.word_map, "word", "formal", id_col)
+    out = compute_once(out, {short: F.trim(F.array_join(tokens, " "))})
     if processed:
         # Formal words may hold blanks, so the light text is split once more.
-        out = out.withColumn("_tokens", tx.tokenize(F.col("_light"), squeezed=True))
-        out = drop_tokens(out, "_tokens", tables.stopwords, "word", MIN_WORD, id_col)
-        if tables.stems is not None:
-            out = map_tokens(out, "_tokens", tables.stems, "word", "stem", id_col)
-        out = compute_once(out, {processed: F.array_join("_tokens", " ")})
+        out = out.withColumn(tokens, tx.tokenize(F.col(short), squeezed=True))
+        out = drop_tokens(out, tokens, tables.stopwords, "word", MIN_WORD, id_col)
+        out = _stemmed(out, tables, tokens, id_col)
+        out = compute_once(out, {processed: F.array_join(tokens, " ")})
     if light:
-        out = out.withColumn(light, F.col("_light"))
-    return out.drop("_tokens", "_light")
+        out = out.withColumn(light, F.col(short))
+    return out.drop(tokens, short)
 
 
 def preprocess_light(df: DataFrame, tables: TextTables, **options) -> DataFrame:
@@ -118,17 +143,17 @@ def preprocess_for_scoring(df: DataFrame, tables: TextTables, **options) -> Data
 
 def preprocess_trace(df: DataFrame, tables: TextTables, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per text with what each step makes of it."""
-    out = df.withColumn("filtered", tx.filter_text(F.col(text)))
-    out = out.withColumn("folded", tx.case_fold(F.col("filtered")))
-    out = out.withColumn("_t", tx.tokenize(F.col("folded"), squeezed=True))
+    out = df.select(id_col, F.col(text).alias("_text"))
+    out = compute_once(out, {"filtered": tx.filter_text(F.col("_text"))}).drop("_text")
+    out = compute_once(out, {"folded": tx.case_fold(F.col("filtered"))})
+    out = compute_once(out, {"_t": tx.tokenize(F.col("folded"), squeezed=True)})
     out = out.withColumn("keep", language_heuristic(F.col("_t"), tables.strong))
-    out = map_tokens(out, "_t", tables.word_map, "word", "formal", id_col)
-    out = out.withColumn("normalized", F.array_join("_t", " "))
+    out = compute_once(map_tokens(out, "_t", tables.word_map, "word", "formal", id_col), {"_t": F.col("_t")})
+    out = compute_once(out, {"normalized": F.array_join("_t", " ")})
     out = out.withColumn("_t", tx.tokenize(F.col("normalized"), squeezed=True))
-    out = drop_tokens(out, "_t", tables.stopwords, "word", MIN_WORD, id_col)
+    out = compute_once(drop_tokens(out, "_t", tables.stopwords, "word", MIN_WORD, id_col), {"_t": F.col("_t")})
     out = out.withColumn("no_stopwords", F.array_join("_t", " "))
-    if tables.stems is not None:
-        out = map_tokens(out, "_t", tables.stems, "word", "stem", id_col)
+    out = _stemmed(out, tables, "_t", id_col)
     out = out.withColumn("stemmed", F.array_join("_t", " "))
     return out.select(id_col, "filtered", "folded", "keep", "normalized", "no_stopwords", "stemmed")
 

@@ -352,24 +352,30 @@ def remove_stopwords_large(spark: SparkSession, sf: str) -> DataFrame:
 
 RULES = stems.AffixRules(suffixes=["(ly|es|en)", "(ing|tion|ed|er)"], prefixes=[("(re|un|be)", ""), ("(in|an)", "")], depth=1)
 
-
-@query(f"""{SQL_TEXTS},
-vocab AS (SELECT w AS word, count(*) AS n FROM words GROUP BY w),
-roots AS (SELECT word FROM vocab WHERE length(word) BETWEEN 3 AND 5),
-cut1 AS (SELECT word, regexp_replace(word, '(ly|es|en)$', '') AS s1 FROM vocab),
-cut2 AS (SELECT word, s1, regexp_replace(s1, '(ing|tion|ed|er)$', '') AS s2 FROM cut1),
-forms AS (
-  SELECT word, word AS stem, 0 AS cuts FROM cut2 UNION ALL SELECT word, s1, 1 FROM cut2 UNION ALL SELECT word, s2, 2 FROM cut2
-  UNION ALL SELECT word, regexp_replace(word, '^(re|un|be)', ''), 3 FROM cut2
-  UNION ALL SELECT word, regexp_replace(word, '^(in|an)', ''), 4 FROM cut2
-  UNION ALL SELECT word, regexp_replace(s1, '^(re|un|be)', ''), 5 FROM cut2
-  UNION ALL SELECT word, regexp_replace(s1, '^(in|an)', ''), 6 FROM cut2
-  UNION ALL SELECT word, regexp_replace(s2, '^(re|un|be)', ''), 7 FROM cut2
-  UNION ALL SELECT word, regexp_replace(s2, '^(in|an)', ''), 8 FROM cut2),
-ruled AS (SELECT word, arg_min(stem, cuts) AS stem FROM forms WHERE stem IN (SELECT word FROM roots) GROUP BY word),
-changed AS (
-  SELECT word, stem FROM ruled WHERE word NOT IN (SELECT word FROM stems)
-  UNION ALL SELECT word, stem FROM stems WHERE word IN (SELECT word FROM vocab))
+# Vocabulary and roots are used several times over.
+_SQL_STEMS = """vocab AS MATERIALIZED (SELECT w AS word, count(*) AS n FROM words GROUP BY w),
+roots AS MATERIALIZED (SELECT word FROM vocab WHERE length(word) BETWEEN 3 AND 5)"""
+
+
+def _sql_ruled(vocab: str, p: str = "") -> str:
+    """``{p}changed``: words of ``vocab`` with the stem that the rules or the table of stems give them."""
+    return f"""{p}cut1 AS (SELECT word, regexp_replace(word, '(ly|es|en)$', '') AS s1 FROM {vocab}),
+{p}cut2 AS MATERIALIZED (SELECT word, s1, regexp_replace(s1, '(ing|tion|ed|er)$', '') AS s2 FROM {p}cut1),
+{p}forms AS (
+  SELECT word, word AS stem, 0 AS cuts FROM {p}cut2 UNION ALL SELECT word, s1, 1 FROM {p}cut2 UNION ALL SELECT word, s2, 2 FROM {p}cut2
+  UNION ALL SELECT word, regexp_replace(word, '^(re|un|be)', ''), 3 FROM {p}cut2
+  UNION ALL SELECT word, regexp_replace(word, '^(in|an)', ''), 4 FROM {p}cut2
+  UNION ALL SELECT word, regexp_replace(s1, '^(re|un|be)', ''), 5 FROM {p}cut2
+  UNION ALL SELECT word, regexp_replace(s1, '^(in|an)', ''), 6 FROM {p}cut2
+  UNION ALL SELECT word, regexp_replace(s2, '^(re|un|be)', ''), 7 FROM {p}cut2
+  UNION ALL SELECT word, regexp_replace(s2, '^(in|an)', ''), 8 FROM {p}cut2),
+{p}ruled AS (SELECT word, arg_min(stem, cuts) AS stem FROM {p}forms JOIN (SELECT word AS stem FROM roots) USING (stem) GROUP BY word),
+{p}changed AS (
+  SELECT word, stem FROM {p}ruled WHERE word NOT IN (SELECT word FROM stems)
+  UNION ALL SELECT word, stem FROM stems WHERE word IN (SELECT word FROM {vocab}))"""
+
+
+@query(f"""{SQL_TEXTS}, {_SQL_STEMS}, {_sql_ruled("vocab")}
 SELECT word, stem FROM changed WHERE word <> stem
 """)
 def stem_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
@@ -392,6 +398,25 @@ def preprocess(spark: SparkSession, sf: str) -> DataFrame:
     return pp.preprocess(docs, t, light=None).select("doc_id", "processed_text")
 
 
+@query(f"""{SQL_TEXTS}, {_SQL_HEURISTIC}, {_SQL_LANGID}, {_SQL_STEMS.replace("vocab ", "all_words ").replace("FROM vocab", "FROM all_words")},
+kept AS (SELECT h.doc_id FROM heuristic h LEFT JOIN lang_pred p USING (doc_id) WHERE h.keep OR coalesce(p.lang_pred = 'en', true)),
+left_words AS MATERIALIZED (
+  SELECT n.doc_id, n.pos, n.w FROM norm n JOIN kept USING (doc_id) WHERE length(n.w) > 1 AND n.w NOT IN (SELECT word FROM stopwords)),
+left_vocab AS MATERIALIZED (SELECT DISTINCT w AS word FROM left_words), {_sql_ruled("left_vocab", "left_")},
+stemmed AS (
+  SELECT w.doc_id, string_agg(coalesce(c.stem, w.w), ' ' ORDER BY w.pos) AS text
+  FROM left_words w LEFT JOIN left_changed c ON c.word = w.w GROUP BY w.doc_id)
+SELECT d.doc_id, coalesce(t.text, '') AS processed_text FROM docs d LEFT JOIN stemmed t USING (doc_id)
+""")
+def preprocess_stemmed(spark: SparkSession, sf: str) -> DataFrame:
+    """With affix rules inside: roots are the short words of all texts, and the vocabulary left is stemmed once a word."""
+    t, docs = tables(spark), documents(spark, sf)
+    t.profiles, t.affixes = langid.train_profiles(docs), RULES
+    words = joins.word_counts(light_tokens(spark, sf), "tokens")
+    t.roots = words.filter(F.char_length("word").between(3, 5)).select("word")
+    return pp.preprocess(docs, t, light=None).select("doc_id", "processed_text")
+
+
 @query(f"""{SQL_TEXTS}, {_SQL_HEURISTIC}, {_SQL_LANGID},
 kept AS (SELECT h.doc_id FROM heuristic h LEFT JOIN lang_pred p USING (doc_id) WHERE h.keep OR coalesce(p.lang_pred = 'en', true))
 SELECT d.doc_id, CASE WHEN k.doc_id IS NULL THEN '' ELSE coalesce(l.light_text, '') END AS light_text

@@ -88,6 +88,22 @@ NEUTRAL_WORDS = [
     "ubah", "berubah", "pelamar", "lamar", "birokrasi",
 ]
 
+# Root words that affix rules lead to: words of the lexicon and of everyday texts without affixes.
+ROOTS = [
+    "bantu", "benar", "bangga", "bagus", "sukses", "hebat", "cinta", "setuju", "baik", "semangat", "untung", "mudah",
+    "menang", "bahagia", "cocok", "kuat", "senang", "gembira", "puji", "syukur", "aman", "damai", "maju", "pintar",
+    "cerdas", "kreatif", "kecewa", "ribet", "buruk", "jelek", "gagal", "susah", "sulit", "rugi", "lemah", "mahal",
+    "salah", "benci", "marah", "parah", "payah", "hancur", "kacau", "masalah", "tuntut", "sesal", "sekali", "suka",
+    "ajar", "didik", "kerja", "makan", "minum", "main", "tulis", "baca", "lihat", "dengar", "bicara", "jalan", "lari",
+    "duduk", "tidur", "bangun", "beli", "jual", "bayar", "pakai", "guna", "buat", "cari", "temu", "kirim", "terima",
+    "beri", "ambil", "bawa", "simpan", "buka", "tutup", "masuk", "keluar", "datang", "pergi", "pulang", "tinggal",
+    "hidup", "mati", "sakit", "sehat", "rumah", "sekolah", "kampus", "buku", "uang", "waktu", "orang", "anak", "kata",
+    "nama", "tempat", "negara", "kota", "desa", "harga", "hasil", "mulai", "akhir", "ubah", "tambah", "kurang",
+    "lebih", "besar", "kecil", "tinggi", "rendah", "panjang", "pendek", "cepat", "lambat", "baru", "lama", "muda",
+    "tua", "dukung", "lindung", "tolong", "harap", "percaya", "rasa", "pikir", "tahu", "kenal", "ingat", "lupa",
+    "tanya", "jawab", "sapu", "daftar", "luang", "usaha", "janji", "tunggu", "coba", "pilih", "milik", "warga",
+]
+
 
 def words_frame(spark: SparkSession, words) -> DataFrame:
     return local_frame(spark, [(w,) for w in words], "word string")
