@@ -29,6 +29,8 @@ from tidesift.sources.scratch import stage
 
 #: How many times over the least one the capacity is.
 SLACK = 4
+#: Parts of a group that are ranked by themselves before the group is.
+PARTS = 8
 #: 0 between words, 2 where also a piece ends.
 _KINDS = np.ones(256, np.uint8)
 _KINDS[[0x20, 0x09]] = 0
@@ -67,18 +69,16 @@ class Block:
         t = tb.texts(table[text])
         data = tb.LOWER[t.data]
         kind = _KINDS[data]
-        starts, _, counts = tb.words(tb.Texts(data, t.bounds), (_KINDS == 1).astype(np.uint8))
-        self.row = np.repeat(np.arange(len(counts)), counts)
-        breaks = np.cumsum(kind == 2)
-        piece = breaks[starts] + self.row if len(starts) else starts
-        solid = kind == 1
-        offsets = np.concatenate(([0], np.cumsum(solid)))
-        self.words, number = _distinct(data[solid], np.append(offsets[starts], offsets[-1]).astype(np.int64))
+        starts, ends, counts = tb.words(tb.Texts(data, t.bounds), (_KINDS == 1).astype(np.uint8))
+        row = np.repeat(np.arange(len(counts)), counts)
+        piece = np.searchsorted(np.flatnonzero(kind == 2), starts) + row
+        self.words, number = _distinct(data[kind == 1], np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int64))
+        del kind, data, t
         number = number.astype(np.int64)
         self.number_of = number
         groups = table[group].combine_chunks().dictionary_encode()
         self.groups, of_row = groups.dictionary, groups.indices.to_numpy().astype(np.int64)
-        self.group = of_row[self.row]
+        self.group = of_row[row]
         self.totals = np.bincount(self.group, minlength=len(self.groups))
         size, n = max(1, len(self.words)), len(number)
         word_hash = _hashes(self.words)
@@ -91,6 +91,7 @@ class Block:
             grams = Grams(before.at[places] * size + number[places + k - 1], places, n)
             own = self.hashes[-1][before.at[grams.first]]
             self.hashes.append(tb.join_hashes(own, word_hash[number[grams.first + k - 1]], seed=61 + k))
+            before.at = None  # only the next length asks for it
             self.grams.append(grams)
 
     def phrases(self, k: int, some: np.ndarray) -> pa.Array:
@@ -239,8 +240,12 @@ def collocations(table: DataFrame, text: str, group: Column, rule: Rule = Rule()
     around = inner.groupBy("grp", "phrase").agg(F.max("a").alias("around"))
     left = scored.join(around, ["grp", "phrase"], "left").where(F.expr(f"NOT coalesce(100 * around >= {rule.inside} * a, false)"))
 
-    order = Window.partitionBy("grp").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    flat = left.select("grp", "phrase", "a", "cut.l", "cut.r", "cut.score").withColumn("rank", F.row_number().over(order))
+    # A group's first are among the first of its parts, so that what one task ranks is bounded at any size.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    flat = left.select("grp", "phrase", "a", "cut.l", "cut.r", "cut.score", part.alias("part"))
+    order = F.desc("score"), F.desc("a"), "phrase"
+    flat = flat.withColumn("rank", F.row_number().over(Window.partitionBy("grp", "part").orderBy(*order))).where(F.col("rank") <= rule.first)
+    flat = flat.withColumn("rank", F.row_number().over(Window.partitionBy("grp").orderBy(*order))).where(F.col("rank") <= rule.first)
     words = counts.where("words = 0").select("grp", F.col("n"))
-    best = flat.where(F.col("rank") <= rule.first).join(words, "grp")
+    best = flat.join(words, "grp")
     return best.select("grp", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
