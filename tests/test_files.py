@@ -1,6 +1,11 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from tidesift.operators import explore
+from tidesift.operators.preprocess import default_tables
+from tidesift.operators.scoring import score_lexicon
 from tidesift.sources import files, wordlists
 
 
@@ -62,3 +67,49 @@ def test_timestamps_do_not_follow_the_session(spark, rows, zone):
         assert tuple(explore.time_coverage(df).first()) == (4, 6)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("split", ["10b", "64b", "1m"])
+def test_quoted_records_over_byte_ranges(spark, rows, tmp_path, split):
+    """Files cut anywhere, also inside quotes, quoted line feeds and doubled quotes, read as the whole-file reader does."""
+    rng = random.Random(3)
+    bits = ["a", ",", "\n", '"', "é❶", " ", "", "\n\n", '""', ",\n\"", "x" * 70, "#"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 9))) for _ in range(160)] + ["tail\n" * 40, None, "", "plain"]
+    df = rows([(f"{i:04d}", t, None if i % 3 else "z") for i, t in enumerate(texts)], "id string, text string, other string")
+    path = str(tmp_path / "in")
+    df.coalesce(1).sortWithinPartitions("id").repartition(3, "other").sortWithinPartitions("id").write.options(header=True, escape='"', quoteAll=True).csv(path)
+    whole = spark.read.options(**files.CSV_OPTIONS).csv(path).withColumn("file", F.col("_metadata.file_path"))
+    want = [tuple(r)[:3] for r in sorted(whole.collect(), key=lambda r: (r.file, r.id))]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = files.read_csv(spark, path, "n")
+        assert got.columns == ["id", "text", "other", "n"]
+        found = sorted(map(tuple, got.collect()), key=lambda r: r[3])
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r[3] for r in found] == list(range(len(texts))) and [r[:3] for r in found] == want
+
+
+def test_csv_without_quotes_and_with_other_line_ends(spark, tmp_path):
+    path = write(tmp_path, "w.csv", 'id,text\r\n1,one\r\n\r\n2,"two\r\nlines"\r\n3\r\n4,a,b\r\n')
+    assert [tuple(r) for r in files.read_csv(spark, path, "n").orderBy("n").collect()] == [("1", "one", 0), ("2", "two\nlines", 1), ("3", None, 2), ("4", "a", 3)]
+    assert files.read_csv(spark, write(tmp_path, "h.csv", "id,text\n")).collect() == []
+
+
+def test_lines_to_scores_in_input_order(spark, tmp_path):
+    lines = [rng_text for i in range(300) for rng_text in (f" kata{i} bagus ", "", f"jelek {i}", "\t")]
+    source, out = write(tmp_path, "l.txt", "\n".join(lines)), str(tmp_path / "out")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        texts = files.scan_text_lines(spark, source, number="doc_id")
+        assert texts.rdd.getNumPartitions() >= 1
+        lexicon = wordlists.lexicon_frame(spark, wordlists.POSITIVE | wordlists.NEGATIVE)
+        scored = score_lexicon(texts, lexicon, default_tables(spark))
+        files.write_predictions(scored, out, number="doc_id")
+        order = [r.doc_id for r in scored.orderBy("doc_id").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert order == list(range(600))
+    read = spark.read.option("header", True).csv(out).withColumn("file", F.col("_metadata.file_name")).withColumn("at", F.monotonically_increasing_id())
+    got = [r.text_original for r in sorted(read.collect(), key=lambda r: (r.file, r.at))]
+    assert got == [x.strip() for x in lines if x.strip()] and "doc_id" not in read.columns

@@ -7,7 +7,7 @@ from tidesift.operators.preprocess import default_tables, preprocess_for_scoring
 from tidesift.plans import pipeline as pl
 from tidesift.plans.catalog import base, labelling, learning
 from tidesift.sources import wordlists
-from tidesift.streaming.score import read_requests, score_stream
+from tidesift.streaming.score import read_requests, read_scored, score_batches, score_stream
 
 
 @pytest.fixture(scope="module")
@@ -124,3 +124,76 @@ def test_tuning_space_of_the_queries_is_part_of_the_real_one():
     from tidesift.operators.sampling import PARAM_SPACE
 
     assert set(learning.SPACE) <= set(PARAM_SPACE)
+
+
+def test_routes_share_one_reading(spark, requests, lexicon, tmp_path):
+    """Any number of models in one plan with one scan, with the results of a reading for each."""
+    tables = default_tables(spark)
+    path = str(tmp_path / "requests")
+    requests.write.parquet(path)
+    rows_ = spark.read.parquet(path)
+    other = wordlists.lexicon_frame(spark, {"bagus": -9})
+    routes = {"a": sc.Route(tables, lexicon), "b": sc.Route(tables, lexicon, negated=False), "c": sc.Route(tables, other)}
+    got = sc.route_by_model(rows_, routes)
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    plain = {k: lambda df, r=r: sc.score_lexicon(df, r.lexicon, tables, negated=r.negated) for k, r in routes.items()}
+    want = sc.route_by_model(rows_, plain).select(got.columns)
+    mixed = sc.route_by_model(rows_, plain | {"a": routes["a"]}).select(got.columns)
+    as_list = lambda df: sorted(map(str, df.collect()))
+    assert as_list(got) == as_list(want) == as_list(mixed)
+
+
+def test_routes_by_classifiers_equal_their_scorers(spark, sf_dir, lexicon):
+    labelled, tables = base.labelled(spark, sf_dir), base.tables(spark)
+    forest = pl.train(labelled, pl.TrainOptions(max_features=50, settings={"num_trees": 3, "max_depth": 3})).fitted
+    softmax = pl.train(labelled, pl.TrainOptions("softmax", max_features=50, settings={"max_iter": 3})).fitted
+    routes = {"blend": sc.Route(tables, base.lexicon(spark), forest), "plain": sc.Route(tables, fitted=forest), "light": sc.Route(tables, fitted=softmax)}
+    asked = base.documents(spark, sf_dir, "doc_id", "text").withColumn("model", F.element_at(F.array(*map(F.lit, routes)), (F.col("doc_id") % 3 + 1).cast("int")))
+    got = {r.doc_id: r for r in sc.route_by_model(asked, routes).drop("model", "error").collect()}
+    lex = base.lexicon(spark)
+    want = [
+        sc.score_blended(asked.where("model = 'blend'").drop("model"), forest, lex, tables),
+        sc.score_plain(asked.where("model = 'plain'").drop("model"), forest, tables),
+        sc.score_plain(asked.where("model = 'light'").drop("model"), softmax, tables),
+    ]
+    rows_ = [r for df in want for r in df.collect()]
+    assert len(rows_) == len(got) == 200 and all(tuple(r) == tuple(got[r.doc_id]) for r in rows_)
+    plan = sc.route_by_model(asked, routes)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_large_dictionaries_on_a_stream(spark, rows, tmp_path, monkeypatch):
+    """More words than a constant holds; batches come one by one, and one that is repeated replaces itself."""
+    from tidesift.operators import joins
+
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 0)
+    letters = lambda n: str(n).translate(str.maketrans("0123456789", "abcdefghij"))  # noqa: E731 (digits are cleaned away)
+    word = lambda c: F.concat(F.lit(c), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij"))
+    lexicon = spark.range(60_000).select(word("w").alias("word"), (F.col("id") % 7 - 3).cast("int").alias("weight"))
+    tables = default_tables(spark)
+    tables.word_map = spark.range(60_000).select(word("x").alias("word"), word("w").alias("formal"))
+    data = [(str(i), "m", f"w{letters(i)} tidak w{letters(i * 31)} x{letters(i * 17)} zz") for i in range(40)] + [("n", "m", " "), ("o", "?", "wb")]
+    requests = rows(data, "doc_id string, model string, text string")
+    route = {"m": sc.Route(tables, lexicon)}
+    source, sink, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    for part in ("doc_id <= '2'", "doc_id > '2'"):
+        requests.filter(part).write.mode("append").parquet(source)
+        stream = read_requests(spark, source, requests.schema, files_per_batch=2)
+        score_batches(stream, route, sink, log).awaitTermination()
+    import glob, os
+
+    last = max(glob.glob(f"{log}/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
+    for path in (last, f"{log}/commits/.{os.path.basename(last)}.crc"):
+        if os.path.exists(path):
+            os.remove(path)  # as if the job had died before it noted the batch
+    score_batches(read_requests(spark, source, requests.schema, files_per_batch=2), route, sink, log).awaitTermination()
+    batch = sc.route_by_model(requests, route)
+    got = read_scored(spark, sink).select(batch.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, batch.collect())) and got.count() == 42
+    weigh = lambda n: n % 7 - 3
+    want = {}
+    for i in range(40):
+        turned, after = (i * 31, i * 17) if weigh(i * 31) else (i * 17, i * 31)
+        total = weigh(i) - weigh(turned) + weigh(after)
+        want[str(i)] = "Positif" if total > 0 else "Negatif" if total < 0 else "Netral"
+    assert {r.doc_id: r.sentiment for r in got.where("error IS NULL").collect()} == want

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -153,31 +153,38 @@ def long_form(df: DataFrame, id_col: str = "doc_id", column: str = "tfidf") -> D
     return df.select(id_col, F.inline(column))
 
 
+def _stored_vector(size: int, column: str) -> Column:
+    """A sparse vector as Spark ML stores one: kind 0, size, indices and values."""
+    none = F.array().cast
+    return F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(size).alias("size"),
+        F.coalesce(F.col(f"{column}.idx"), none("array<int>")).alias("indices"),
+        F.coalesce(F.col(f"{column}.value"), none("array<double>")).alias("values"),
+    )
+
+
 def assemble_vectors(df: DataFrame, size: int, column: str = "tfidf", out: str = "features") -> DataFrame:
-    """Sparse vectors for Spark ML: the one step without a built-in function."""
+    """Sparse vectors for Spark ML, of rows or a stream; null entries make an empty vector.
+
+    No function turns a struct into the vector type it is stored as. A JSON reader that is given that type does, and
+    doubles come back as they were, so no row passes through Python.
+    """
+    text = F.to_json(F.struct(_stored_vector(size, column).alias("v")))
+    return df.withColumn(out, F.from_json(text, StructType([StructField("v", VectorUDT())]))["v"])
 
-    @F.udf(VectorUDT(), useArrow=True)
-    def sparse(indices, values):
-        return Vectors.sparse(size, indices, values)
 
-    return df.withColumn(out, sparse(F.col(f"{column}.idx"), F.col(f"{column}.value")))
+def vector_entries(df: DataFrame, id_col: str = "doc_id", column: str = "features") -> DataFrame:
+    """``(id, idx, value)`` rows of sparse vectors."""
+    stored = F.from_json(F.to_json(F.struct(F.col(column).alias("v"))), "v struct<indices:array<int>,values:array<double>>")["v"]
+    return df.select(id_col, F.inline(F.arrays_zip(stored["indices"].alias("idx"), stored["values"].alias("value"))))
 
 
 def stage_vectors(df: DataFrame, size: int, name: str, column: str = "tfidf", out: str = "features") -> DataFrame:
-    """``assemble_vectors`` for a table that is written anyway: the file's columns are read back as vectors.
-
-    A sparse vector is stored as kind 0, size, indices and values, so no row
-    passes through Python.
-    """
-    vector = F.struct(
-        F.lit(0).cast("tinyint").alias("type"),
-        F.lit(size).alias("size"),
-        F.col(f"{column}.idx").alias("indices"),
-        F.col(f"{column}.value").alias("values"),
-    )
+    """``assemble_vectors`` for a table that is written anyway: the file's columns are read back as vectors."""
     keep = [f for f in df.schema.fields if f.name != column]
     schema = StructType([*keep, StructField(out, VectorUDT())])
-    return stage(df.select(*[f.name for f in keep], vector.alias(out)), name, schema)
+    return stage(df.select(*[f.name for f in keep], _stored_vector(size, column).alias(out)), name, schema)
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:

@@ -6,7 +6,7 @@ ones are joined by word:
 - Up to ``MAX_BROADCAST_BYTES``, which are measured, the dictionary goes to the tokens.
 - Beyond, tokens go to the dictionary, but only those that pass a Bloom filter of its words, built by an aggregate and
   sized by its rows. Both sides of that join are shuffled by word, so that Spark splits a word that many texts share.
-  A stream's batches, where it does not, give such words salts (``frequent_words``).
+  Where adaptive execution is off, which does that, such words are counted first and get salts.
 
 Only what was found goes back to the texts: per text, its places and values. A text is told by a hash of its words, so
 ids may be null or repeat and texts need not be written to get a key; copies of a text get one answer.
@@ -95,7 +95,7 @@ class WordFilter:
         return F.get(self.bits.scalar(), self._block(word)).bitwiseAND(mask) == mask
 
 
-def hits(texts: DataFrame, tokens: str, table: DataFrame, word: str, salts: dict[str, int] | None = None) -> DataFrame:
+def hits(texts: DataFrame, tokens: str, table: DataFrame, word: str) -> DataFrame:
     """``text, pos, found``: the places of the texts' tokens that the table holds, ``found`` being its other columns.
 
     ``table`` has unique words. A text that occurs several times may give a place several times.
@@ -108,9 +108,9 @@ def hits(texts: DataFrame, tokens: str, table: DataFrame, word: str, salts: dict
     if size <= MAX_BROADCAST_BYTES:
         return left.join(F.broadcast(right), "token").select("text", "pos", "found")
     left = left.where(WordFilter(right, "token", rows).may_hold(F.col("token")))
-    by = ["token"]
-    if salts:
-        n = LiteralMap(salts, "int")
+    by, conf = ["token"], texts.sparkSession.conf.get
+    if conf("spark.sql.adaptive.enabled", "true") == "false":
+        n = LiteralMap(frequent_words(texts, tokens, int(conf("spark.sql.shuffle.partitions"))), "int")
         of_word = F.coalesce(n.get(F.col("token")), F.lit(1))
         left = left.withColumn("salt", F.pmod(F.xxhash64("text", "pos"), of_word).cast("int"))
         right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), of_word - 1)))
@@ -150,12 +150,12 @@ def map_tokens(df: DataFrame, tokens: str, table: DataFrame, word: str, value: s
 
 
 def map_tokens_by_join(
-    df: DataFrame, tokens: str, table: DataFrame, word: str, value: str, id_col: str = "doc_id", salts: dict[str, int] | None = None
+    df: DataFrame, tokens: str, table: DataFrame, word: str, value: str, id_col: str = "doc_id"
 ) -> DataFrame:
     """``map_tokens`` for a table of any size, whatever the ids."""
     (found,) = free(df, "__found")
     known = table.select(word, value).where(F.col(word).isNotNull() & F.col(value).isNotNull())
-    return _replace(back_to_texts(df, tokens, hits(df, tokens, known, word, salts), found), tokens, found, value)
+    return _replace(back_to_texts(df, tokens, hits(df, tokens, known, word), found), tokens, found, value)
 
 
 def drop_tokens(
@@ -170,13 +170,13 @@ def drop_tokens(
 
 
 def drop_tokens_by_join(
-    df: DataFrame, tokens: str, table: DataFrame, word: str = "word", min_len: int = 1, id_col: str = "doc_id", salts: dict[str, int] | None = None
+    df: DataFrame, tokens: str, table: DataFrame, word: str = "word", min_len: int = 1, id_col: str = "doc_id"
 ) -> DataFrame:
     """``drop_tokens`` for a table of any size, whatever the ids."""
     (found,) = free(df, "__found")
     df = df.withColumn(tokens, F.filter(tokens, lambda x: F.char_length(x) >= min_len))
     known = table.select(word).where(F.col(word).isNotNull()).distinct()
-    return _replace(back_to_texts(df, tokens, hits(df, tokens, known, word, salts), found), tokens, found, None)
+    return _replace(back_to_texts(df, tokens, hits(df, tokens, known, word), found), tokens, found, None)
 
 
 def word_counts(df: DataFrame, tokens: Column | str, by: tuple[str, ...] = ()) -> DataFrame:

@@ -126,7 +126,6 @@ def lexicon_score_by_join(
     text: str = "light_text",
     id_col: str = "doc_id",
     score: str = "score",
-    salts: dict[str, int] | None = None,
 ) -> DataFrame:
     """``lexicon_score`` for a lexicon of any size, whatever the ids.
 
@@ -143,7 +142,7 @@ def lexicon_score_by_join(
         )
     tokens, found = free(df, "__tokens", "__found")
     texts = compute_once(df, {tokens: tokenize(F.col(text))})
-    scored = back_to_texts(texts, tokens, hits(texts, tokens, table, "word", salts), found)
+    scored = back_to_texts(texts, tokens, hits(texts, tokens, table, "word"), found)
     total = _fold(F.transform(found, lambda f: f["found"]["weight"]))
     return scored.withColumn(score, F.coalesce(total, F.lit(0).cast("long"))).select(*[c for c in df.columns if c != score], score)
 

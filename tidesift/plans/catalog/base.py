@@ -75,8 +75,13 @@ def documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return table(spark, sf, "documents").select(*(columns or ("doc_id", "lang", "text")))
 
 
+#: Setting of a session that deals each table out to so many tasks (see ``read_table``); tables are read as they lie without it.
+PARTITIONS = "spark.tidesift.read.partitions"
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf}/{name}.parquet")
+    n = spark.conf.get(PARTITIONS, None)
+    return read_table(spark, f"{sf}/{name}.parquet", int(n) if n else None)
 
 
 def event_texts(spark: SparkSession, sf: str) -> DataFrame:

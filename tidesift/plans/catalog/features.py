@@ -84,11 +84,12 @@ def tfidf_transform(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(_fitted(labelled(spark, sf)).transform(new))
 
 
-@query()
+@query(f"{SQL_LABELLED}, {_SQL_VOCABULARY}, {_sql_tfidf('tfs')}")
 def assemble_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """The entries of the documents' vectors."""
     rows = stage(labelled(spark, sf).select("doc_id", "processed_text"), "labelled")
     model = _fitted(rows)
-    return ft.assemble_vectors(model.transform(rows), model.size).select("doc_id", "features")
+    return ft.vector_entries(ft.assemble_vectors(model.transform(rows), model.size)).withColumn("value", F.round("value", 6))
 
 
 @query(f"""{SQL_LABELLED}

@@ -88,12 +88,9 @@ def prediction_summary(spark: SparkSession, sf: str) -> DataFrame:
 # A turn's role names the model it asks for; there is none called "system".
 
 
-def scorers(spark: SparkSession) -> dict[str, sc.Scorer]:
+def scorers(spark: SparkSession) -> dict[str, sc.Route]:
     words, lex = tables(spark), lexicon(spark)
-    return {
-        "user": lambda df: sc.score_lexicon(df, lex, words),
-        "assistant": lambda df: sc.score_lexicon(df, lex, words, negated=False),
-    }
+    return {"user": sc.Route(words, lex), "assistant": sc.Route(words, lex, negated=False)}
 
 
 def _sql_routed() -> str:
