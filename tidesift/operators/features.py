@@ -20,6 +20,8 @@ from tidesift.sources.local import local_frame
 from tidesift.sources.scratch import stage
 
 MAX_FEATURES = 20_000
+#: Terms of a saved vocabulary that are read as a constant.
+MAX_READ = 1_000_000
 MIN_DF = 3
 MIN_TERM = 2
 

@@ -104,7 +104,8 @@ def hits(texts: DataFrame, tokens: str, table: DataFrame, word: str) -> DataFram
     values = [c for c in table.columns if c != word]
     right = table.select(F.col(word).alias("token"), F.struct(*values).alias("found") if values else F.lit(True).alias("found"))
     left = compute_once(texts.select(F.col(tokens).alias("tokens")), {"tokens": F.col("tokens")})
-    left = left.select(text_key(F.col("tokens")).alias("text"), F.posexplode("tokens").alias("pos", "token"))
+    # The key is made below the generator, once a text; beside it, it would be made for each token.
+    left = left.withColumn("text", text_key(F.col("tokens"))).select("text", F.posexplode("tokens").alias("pos", "token"))
     if size <= MAX_BROADCAST_BYTES:
         return left.join(F.broadcast(right), "token").select("text", "pos", "found")
     left = left.where(WordFilter(right, "token", rows).may_hold(F.col("token")))

@@ -10,11 +10,9 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, functions as F
 
 from tidesift.operators.evaluate import summary_metrics
-from tidesift.operators.sampling import PARAM_SPACE, SEED, sample_param_grid
+from tidesift.operators.sampling import MAX_DEPTH, PARAM_SPACE, SEED, effective_space, sample_param_grid
 from tidesift.sources.local import local_frame
 
-MAX_DEPTH = 30  # Spark's limit; stands for an unlimited depth
-
 
 class MacroF1Evaluator(Evaluator):
     """Macro-averaged F1 of class indices; Spark's own evaluator has the weighted one only."""
@@ -88,9 +86,9 @@ def tune_forest(
 ) -> tuple[Model, DataFrame]:
     """Random search by cross-validated macro F1 over the ``fold`` column.
 
-    Returns the best candidate fitted on all rows, and the leaderboard.
+    Candidates are drawn without repetition from the settings that make different models in Spark. Returns the best candidate fitted on all rows, and the leaderboard.
     """
-    combos = sample_param_grid(space, n_iter, seed)
+    combos = sample_param_grid(effective_space(space), n_iter, seed)
     estimator = forest(seed=seed)
     search = CrossValidator(
         estimator=estimator,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidesift.functions.text import is_blank
@@ -45,6 +47,17 @@ def stage_audit(df: DataFrame, text: str, processed: str, order_col: str = "doc_
         F.count("*").alias("n"),
         F.min_by(is_blank(F.col(processed)), order_col).alias("empty"),
     )
+    return _stages(per_text, text)
+
+
+def audit_texts(df: DataFrame, prepare: Callable[[DataFrame], DataFrame], text: str, processed: str) -> DataFrame:
+    """``stage_audit`` of raw rows: ``prepare`` adds the processed text, once to each different text."""
+    counted = df.groupBy(F.xxhash64(text).alias("_hash"), text).agg(F.count("*").alias("n"))
+    return _stages(prepare(counted).withColumn("empty", is_blank(F.col(processed))), text)
+
+
+def _stages(per_text: DataFrame, text: str) -> DataFrame:
+    """The audit of ``(text, n, empty)`` rows."""
     present = F.col(text).isNotNull()
     totals = per_text.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("raw"),

@@ -198,3 +198,18 @@ def sample_param_grid(space: dict[str, list] = PARAM_SPACE, n: int = 30, seed: i
             combo[name] = values[at]
         picks.append(combo)
     return picks
+
+
+#: Settings of the space that Spark's forest has, with the greatest depth it takes, which stands for none.
+SPARK_SETTINGS = ("n_estimators", "max_depth", "min_samples_leaf", "max_features", "bootstrap")
+MAX_DEPTH = 30
+
+
+def effective_space(space: dict[str, list] = PARAM_SPACE) -> dict[str, list]:
+    """The space of models that differ in Spark: settings it has, values it tells apart.
+
+    There is no smallest size of a node to be split, and depths over ``MAX_DEPTH`` are that depth.
+    """
+    depth = lambda d: MAX_DEPTH if d is None else min(d, MAX_DEPTH)
+    known = {k: [depth(v) for v in values] if k == "max_depth" else values for k, values in space.items() if k in SPARK_SETTINGS}
+    return {k: list(dict.fromkeys(values)) for k, values in known.items()}

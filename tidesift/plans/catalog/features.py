@@ -31,7 +31,7 @@ terms AS (
   UNION ALL SELECT doc_id, l[i] || ' ' || l[i + 1] FROM (
     SELECT doc_id, l, unnest(generate_series(1, len(l) - 1)) AS i FROM tok WHERE len(l) > 1)),
 tfs AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term)"""
-_SQL_VOCABULARY = f"""{_SQL_TERMS},
+SQL_VOCABULARY = f"""{_SQL_TERMS},
 vocabulary AS (
   SELECT term, df, tf, row_number() OVER (ORDER BY term) - 1 AS idx
   FROM (SELECT term, count(*) AS df, sum(tf)::BIGINT AS tf FROM tfs GROUP BY term HAVING count(*) >= 3 ORDER BY tf DESC, term LIMIT 20000)),
@@ -50,7 +50,7 @@ def ngrams_1_2(spark: SparkSession, sf: str) -> DataFrame:
     return ft.add_term_counts(labelled(spark, sf)).select("doc_id", F.inline("term_counts"))
 
 
-@query(f"{SQL_LABELLED}, {_SQL_VOCABULARY} SELECT term, df, tf, idx::INT AS idx FROM vocabulary")
+@query(f"{SQL_LABELLED}, {SQL_VOCABULARY} SELECT term, df, tf, idx::INT AS idx FROM vocabulary")
 def vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     return ft.vocabulary_terms(labelled(spark, sf))
 
@@ -63,13 +63,13 @@ def _rounded(df: DataFrame) -> DataFrame:
     return ft.long_form(df).withColumn("value", F.round("value", 6))
 
 
-@query(f"{SQL_LABELLED}, {_SQL_VOCABULARY}, {_sql_tfidf('tfs')}")
+@query(f"{SQL_LABELLED}, {SQL_VOCABULARY}, {_sql_tfidf('tfs')}")
 def tfidf_sublinear(spark: SparkSession, sf: str) -> DataFrame:
     rows = stage(labelled(spark, sf).select("doc_id", "processed_text"), "labelled")
     return _rounded(_fitted(rows).transform(rows))
 
 
-@query(f"""{SQL_LABELLED}, {_SQL_VOCABULARY}, {SQL_TURN_CTES},
+@query(f"""{SQL_LABELLED}, {SQL_VOCABULARY}, {SQL_TURN_CTES},
 turn_tok AS (SELECT doc_id, list_filter(string_split(processed_text, ' '), lambda w: length(w) >= 2) AS l FROM turn_processed),
 turn_tfs AS (
   SELECT doc_id, term, count(*) AS tf FROM (
@@ -84,7 +84,7 @@ def tfidf_transform(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(_fitted(labelled(spark, sf)).transform(new))
 
 
-@query(f"{SQL_LABELLED}, {_SQL_VOCABULARY}, {_sql_tfidf('tfs')}")
+@query(f"{SQL_LABELLED}, {SQL_VOCABULARY}, {_sql_tfidf('tfs')}")
 def assemble_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """The entries of the documents' vectors."""
     rows = stage(labelled(spark, sf).select("doc_id", "processed_text"), "labelled")

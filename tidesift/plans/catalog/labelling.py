@@ -132,14 +132,14 @@ def lexicon_score_negated(spark: SparkSession, sf: str) -> DataFrame:
 SELECT d.doc_id, coalesce(s.score, 0)::BIGINT AS score FROM docs d LEFT JOIN scores s USING (doc_id)
 """)
 def lexicon_score_plain_large(spark: SparkSession, sf: str) -> DataFrame:
-    return lx.lexicon_score_by_join(_light(spark, sf), corpus_lexicon(spark, sf)).drop("light_text")
+    return lx.lexicon_score_by_join(_light(spark, sf), stage(corpus_lexicon(spark, sf), "lexicon")).drop("light_text")
 
 
 @query(f"""{SQL_LISTS}, {sql_score_cte("scores", "norm", True, "corpus_lexicon")}
 SELECT d.doc_id, coalesce(s.score, 0)::BIGINT AS score FROM docs d LEFT JOIN scores s USING (doc_id)
 """)
 def lexicon_score_negated_large(spark: SparkSession, sf: str) -> DataFrame:
-    return lx.lexicon_score_by_join(_light(spark, sf), corpus_lexicon(spark, sf), base.NEGATIONS).drop("light_text")
+    return lx.lexicon_score_by_join(_light(spark, sf), stage(corpus_lexicon(spark, sf), "lexicon"), base.NEGATIONS).drop("light_text")
 
 
 @query(f"{SQL_LABELLED} SELECT doc_id, lang, score, label FROM labelled")

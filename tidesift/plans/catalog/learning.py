@@ -1,13 +1,17 @@
-"""Queries: classifiers. Their results are checked by rows and metrics, not by SQL."""
+"""Queries: classifiers. SQL cannot tell what a model says, only what must hold of it: the queries named ``_checked``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidesift.operators import features as ft, models, sampling, scoring as sc
+from tidesift.operators.explore import CLASS_FACTORS
+from tidesift.operators.lexicon import CLASSES
 from tidesift.plans import pipeline as pl
-from tidesift.plans.catalog.base import labelled, lexicon, query, tables
-from tidesift.plans.catalog.texts import turns
+from tidesift.plans.catalog.base import SQL_LABELLED, labelled, lexicon, query, tables
+from tidesift.plans.catalog.features import SQL_VOCABULARY
+from tidesift.plans.catalog.texts import SQL_TURNS, turns
+from tidesift.sources.local import local_frame
 from tidesift.sources.scratch import scratch_path, stage
 
 # A small forest; the default has 300 trees.
@@ -129,3 +133,138 @@ def sample_param_grid(spark: SparkSession, sf: str) -> DataFrame:
     vectors = fitted.training_vectors(train)
     _, board = models.tune_forest(vectors, len(fitted.classes), SPACE, len(combo), 2)
     return board
+
+
+# -- what holds of a model's real output, whatever the model: checked by SQL ---------
+
+
+def _adds_up(names: list[str], loose: float) -> Column:
+    return F.abs(sum((F.col(n) for n in names), F.lit(0.0)) - 1) <= loose
+
+
+_PROBS = [f"prob_{c}" for c in CLASSES]
+
+
+@query(f"{SQL_LABELLED} SELECT doc_id, TRUE AS adds_up, TRUE AS is_argmax FROM labelled")
+def predict_proba_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row has one set of probabilities that add to 1, and the class of the greatest, the first of equal ones."""
+    scored = predict_proba(spark, sf)
+    best = F.array_position(F.array(*_PROBS), F.greatest(*_PROBS)) - 1
+    return scored.select("doc_id", _adds_up(_PROBS, 1e-9).alias("adds_up"), (F.col("prediction") == best).alias("is_argmax"))
+
+
+_SQL_SCORED = f"""{SQL_TURNS}
+SELECT d.doc_id, m.model, CASE m.model WHEN 'light' THEN l.light_text ELSE p.processed_text END IS NULL AS blank, TRUE AS adds_up, TRUE AS is_best
+FROM turn_docs d CROSS JOIN (VALUES ('blended'), ('light'), ('plain')) AS m(model)
+LEFT JOIN turn_light l USING (doc_id) LEFT JOIN turn_processed p USING (doc_id)
+"""
+
+
+@query(_SQL_SCORED)
+def score_models_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of each turn by the three ways with a model: blank ones have none, others add to 1 with the best class named."""
+    forest, _ = _fit(spark, sf)
+    softmax, _ = _fit(spark, sf, "softmax")
+    asked, words = turns(spark, sf).select("doc_id", "text"), tables(spark)
+    scored = {
+        "blended": sc.score_blended(asked, forest, lexicon(spark), words),
+        "plain": sc.score_plain(asked, forest, words),
+        "light": sc.score_plain(asked, softmax, words),
+    }
+    own = {c: F.col(f"prob_{c}") for c in CLASSES}
+    named = F.coalesce(*[F.when(F.col("sentiment") == c, p) for c, p in own.items()])
+    blank = F.col("text_preprocessed") == ""
+    none = (F.greatest(*own.values()) == 0) & (F.col("sentiment") == "Netral")
+    parts = [
+        df.select(
+            "doc_id", F.lit(name).alias("model"), blank.alias("blank"), F.when(blank, none).otherwise(_adds_up(_PROBS, 2e-4)).alias("adds_up"),
+            ((named == F.greatest(*own.values())) & (named == F.col("confidence"))).alias("is_best"),
+        )
+        for name, df in scored.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(f"""{SQL_LABELLED},
+sizes AS (SELECT label, count(*) AS n, max(count(*)) OVER () AS base FROM labelled GROUP BY label),
+drawn AS (
+  SELECT label, trunc(base * CASE label {" ".join(f"WHEN '{c}' THEN {f}" for c, f in CLASS_FACTORS.items())} ELSE 1 END)::BIGINT AS n FROM sizes)
+SELECT m.model, label AS class, round(0.2 * n)::BIGINT AS support
+FROM drawn CROSS JOIN (VALUES ('base'), ('tuned')) AS m(model)
+""")
+def tune_forest_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """Test rows of each class in the reports of both forests: a fifth of what resampling draws."""
+    reports = _tuned(spark, sf).reports
+    parts = [
+        reports[f"classification_report_{m}"].where(F.col("class").isin(CLASSES)).select(F.lit(m).alias("model"), "class", F.col("support").cast("long").alias("support"))
+        for m in ("base", "tuned")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query("SELECT 2::BIGINT AS candidates, 2::BIGINT AS models, TRUE AS best_first, TRUE AS best_saved")
+def search_leaderboard_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidates are as many different models as were asked for, sorted, and the first is the one that is kept."""
+    result = _tuned(spark, sf)
+    board = result.reports["search_leaderboard"]
+    kept = F.to_json(F.create_map(*[F.lit(x) for k, v in sorted(result.metadata["best_params"].items()) for x in (k, str(v))]))
+    settings = F.to_json(F.map_from_entries(F.sort_array(F.map_entries("params"))))
+    order = F.sort_array(F.collect_list(F.struct((-F.col("f1_macro")).alias("score"), "candidate", settings.alias("settings"))))
+    return board.agg(
+        F.count("*").alias("candidates"), F.countDistinct(settings).alias("models"),
+        (F.max("f1_macro") == F.max_by("f1_macro", F.struct("f1_macro", -F.col("candidate")))).alias("best_first"),
+        (order[0]["settings"] == kept).alias("best_saved"),
+    )
+
+
+@query(f"{SQL_LABELLED}, {SQL_VOCABULARY} SELECT least(20, count(*))::BIGINT AS terms, TRUE AS known, TRUE AS descending FROM vocabulary")
+def feature_importances_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """Twenty terms of the vocabulary, the most important first, none of a share over 1."""
+    fitted, _ = _fit(spark, sf)
+    terms = fitted.tfidf.frame(spark)
+    top = stage(models.feature_importances(fitted.model, terms), "importances")
+    known = top.join(terms.select(F.col("term").alias("Fitur")), "Fitur", "left_semi").count()
+    values = [r["Importance"] for r in top.orderBy(F.desc("Importance")).collect()]
+    fine = values == sorted(values, reverse=True) and 0 <= sum(values) <= 1 + 1e-9
+    return top.agg(F.count("*").alias("terms"), (F.count("*") == known).alias("known"), F.lit(fine).alias("descending"))
+
+
+@query("SELECT TRUE AS counted, TRUE AS lower")
+def training_curve_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """Losses of the softmax are numbered from 0 and end below where they began."""
+    curve = training_curve(spark, sf)
+    n = F.count("*")
+    return curve.agg(
+        ((F.min("iteration") == 0) & (F.max("iteration") == n - 1) & (F.countDistinct("iteration") == n)).alias("counted"),
+        (F.max_by("loss", "iteration") < F.min_by("loss", "iteration")).alias("lower"),
+    )
+
+
+@query(f"{SQL_TURNS} SELECT count(*) AS scored, 0::BIGINT AS differing FROM turn_docs")
+def save_load_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that a reloaded classifier scores otherwise than the one that was saved."""
+    result = _train(spark, sf)
+    path = scratch_path(spark, "model")
+    result.fitted.save(spark, path, result.metadata)
+    asked, words = turns(spark, sf).select("doc_id", "text"), tables(spark)
+    before, after = (sc.score_plain(asked, f, words) for f in (result.fitted, pl.load_classifier(spark, path)))
+    same = before.select(F.xxhash64(*before.columns).alias("row"), "doc_id").join(after.select("doc_id", F.xxhash64(*after.columns).alias("again")), "doc_id")
+    return same.agg(F.count("*").alias("scored"), F.count_if(F.col("row") != F.col("again")).alias("differing"))
+
+
+@query(f"""{SQL_LABELLED}
+SELECT 'class ' || label AS item, (dense_rank() OVER (ORDER BY label) - 1)::VARCHAR AS value FROM (SELECT DISTINCT label FROM labelled)
+UNION ALL VALUES ('model_type', 'random-forest'), ('max_features', '20000'), ('min_df', '3'), ('num_trees', '10'), ('max_depth', '6'),
+  ('min_samples_leaf', '2'), ('bootstrap', 'True'), ('accuracies', 'True')
+""")
+def model_metadata_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """The saved record: classes by number, settings with their defaults, measures between 0 and 1."""
+    result = _train(spark, sf)
+    path = scratch_path(spark, "model")
+    result.fitted.save(spark, path, result.metadata)
+    record = pl.load_metadata(spark, path)
+    rows = [(f"class {c}", str(k)) for c, k in record["label_mapping"].items()] + [("model_type", record["model_type"])]
+    rows += [(k, str(record["vectorizer_config"][k])) for k in ("max_features", "min_df")]
+    rows += [(k, record["best_params"][k]) for k in ("num_trees", "max_depth", "min_samples_leaf", "bootstrap")]
+    rows.append(("accuracies", str(all(0 < v <= 1 for v in record["performance"].values()))))
+    return local_frame(spark, rows, "item string, value string")

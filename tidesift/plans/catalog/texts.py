@@ -38,37 +38,41 @@ def scan_required_columns(spark: SparkSession, sf: str) -> DataFrame:
     return files.scan_required_columns(spark, path)
 
 
-_SQL_FIRST_WORDS = f"""
-WITH docs AS (SELECT doc_id, {base.sql_words(f"lower({sql_filter_text('text')})")} AS l, n_chars FROM documents)
-"""
+_SQL_PAIRS = f"""{SQL_TEXTS},
+pairs AS (
+  SELECT w.doc_id, w.pos, w.w AS word, v.w AS next, d.n_chars
+  FROM words w JOIN words v ON v.doc_id = w.doc_id AND v.pos = w.pos + 1
+  JOIN (SELECT doc_id, n_chars FROM documents) d ON d.doc_id = w.doc_id)"""
 
 
-@query(f"""{_SQL_FIRST_WORDS}
-SELECT l[1] AS word, arg_max(l[2], doc_id) AS formal FROM docs WHERE len(l) >= 2 GROUP BY l[1]
-""")
+def _pairs(tokens: DataFrame) -> DataFrame:
+    """Each word of a text with the one behind it, and the place of the pair among all texts."""
+    pairs = F.transform(F.slice("tokens", F.lit(2), F.greatest(F.size("tokens") - 1, F.lit(0))), lambda x, i: F.struct(i.alias("pos"), F.get("tokens", i).alias("word"), x.alias("next")))
+    rows = tokens.select("*", F.inline(pairs)).drop("tokens")
+    return rows.withColumn("line", F.struct("doc_id", "pos"))
+
+
+@query(f"{_SQL_PAIRS} SELECT word, last(next ORDER BY doc_id, pos) AS formal FROM pairs GROUP BY word")
 def load_word_map(spark: SparkSession, sf: str) -> DataFrame:
-    rows = light_tokens(spark, sf).filter(F.size("tokens") >= 2)
-    rows = rows.select(
-        F.col("doc_id").alias("line"), F.col("tokens")[0].alias("word"), F.col("tokens")[1].alias("formal")
-    )
-    return files.clean_word_map(rows)
+    """A map that grows with the corpus: each word stands for the one that last follows it anywhere."""
+    rows = _pairs(light_tokens(spark, sf))
+    return files.clean_word_map(rows.select("line", "word", F.col("next").alias("formal")))
 
 
-@query(f"""{_SQL_FIRST_WORDS}, rows AS (
-  SELECT doc_id, l[1] AS word,
-    CASE WHEN l[2] = 'the' THEN 'weight' ELSE (n_chars::DOUBLE / 100 - 5)::VARCHAR END AS weight
-  FROM docs WHERE len(l) >= 2)
-SELECT word, arg_max(trunc(try_cast(weight AS DOUBLE)), doc_id)::INT AS weight
+@query(f"""{_SQL_PAIRS}, rows AS (
+  SELECT doc_id, pos, word, CASE WHEN next = 'the' THEN 'weight' ELSE ((n_chars + pos - 1)::DOUBLE / 100 - 5)::VARCHAR END AS weight FROM pairs)
+SELECT word, last(trunc(try_cast(weight AS DOUBLE)) ORDER BY doc_id, pos)::INT AS weight
 FROM rows WHERE try_cast(weight AS DOUBLE) IS NOT NULL GROUP BY word
 """)
 def load_lexicon_tsv(spark: SparkSession, sf: str) -> DataFrame:
-    words = tx.tokenize(tx.filter_text(F.col("text")), squeezed=True)
-    rows = documents(spark, sf, "doc_id", "n_chars", "text").withColumn("tokens", words).filter(F.size("tokens") >= 2)
-    number = (F.col("n_chars").cast("double") / 100 - 5).cast("string")
+    """Lines of all words of all texts: with blanks around them, in capitals, and some without a number."""
+    words = tx.tokenize(tx.case_fold(tx.filter_text(F.col("text"))), squeezed=True)
+    rows = _pairs(documents(spark, sf, "doc_id", "n_chars", "text").select("doc_id", "n_chars", words.alias("tokens")))
+    number = ((F.col("n_chars") + F.col("pos")).cast("double") / 100 - 5).cast("string")
     rows = rows.select(
-        F.col("doc_id").alias("line"),
-        F.concat(F.lit("  "), F.col("tokens")[0], F.lit(" ")).alias("word"),
-        F.when(F.lower(F.col("tokens")[1]) == "the", "weight").otherwise(number).alias("weight"),
+        "line",
+        F.concat(F.lit("  "), F.col("word"), F.lit(" ")).alias("word"),
+        F.when(F.col("next") == "the", "weight").otherwise(number).alias("weight"),
     )
     return files.clean_lexicon(rows)
 
@@ -193,8 +197,8 @@ UNION ALL SELECT '2_dedup', b, c, b - c FROM counts
 UNION ALL SELECT '3_drop_empty', c, d, c - d FROM counts
 """)
 def stage_audit(spark: SparkSession, sf: str) -> DataFrame:
-    ready = pp.preprocess(event_texts(spark, sf), tables(spark), filter_lang=False)
-    return profile.stage_audit(ready, "text", "processed_text")
+    prepare = lambda df: pp.preprocess(df, tables(spark), filter_lang=False, light=None)
+    return profile.audit_texts(event_texts(spark, sf), prepare, "text", "processed_text")
 
 
 @query("SELECT doc_id, lang, text FROM documents ORDER BY doc_id LIMIT 5")
@@ -308,20 +312,15 @@ def normalize_words(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", F.array_join("tokens", " ").alias("text"))
 
 
-_SQL_CORPUS_MAP = f"""{SQL_TEXTS},
-corpus_map AS (
-  SELECT l[1] AS word, arg_max(l[2], doc_id) AS formal
-  FROM (SELECT doc_id, {base.sql_words("folded")} AS l FROM docs) WHERE len(l) >= 2 GROUP BY l[1])"""
-
-
-@query(f"""{_SQL_CORPUS_MAP}
+@query(f"""{_SQL_PAIRS},
+corpus_map AS (SELECT word, last(next ORDER BY doc_id, pos) AS formal FROM pairs GROUP BY word)
 SELECT w.doc_id, string_agg(coalesce(m.formal, w.w), ' ' ORDER BY w.pos) AS text
 FROM words w LEFT JOIN corpus_map m ON m.word = w.w GROUP BY w.doc_id
 """)
 def normalize_words_large(spark: SparkSession, sf: str) -> DataFrame:
-    """A map that grows with the corpus: each text's first word stands for its second."""
+    """By a map that grows with the corpus."""
     tokens = light_tokens(spark, sf).filter(F.size("tokens") > 0)
-    out = joins.map_tokens_by_join(tokens, "tokens", load_word_map(spark, sf), "word", "formal")
+    out = joins.map_tokens_by_join(tokens, "tokens", stage(load_word_map(spark, sf), "word-map"), "word", "formal")
     return out.select("doc_id", F.array_join("tokens", " ").alias("text"))
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import inspect
 import json
+import re
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegressionModel, RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidesift.operators import evaluate, explore, features, models, profile, sampling
 from tidesift.operators.lexicon import CLASSES, label_texts
 from tidesift.operators.preprocess import TextTables, preprocess
-from tidesift.sources.files import write_report
+from tidesift.sources.files import write_report, write_text
 from tidesift.sources.scratch import stage
 
 KINDS = {"random-forest": RandomForestClassificationModel, "softmax": LogisticRegressionModel}
@@ -28,9 +32,13 @@ def build_labelled(
     id_col: str = "doc_id",
     filter_lang: bool = True,
     negated: bool = True,
+    order_col: str | None = None,
 ) -> DataFrame:
-    """Drop missing and repeated texts, preprocess, drop empty ones, label by the light text."""
-    clean = profile.dedup_keep_first(profile.drop_missing_text(raw, text), text, id_col)
+    """Drop missing and repeated texts, preprocess, drop empty ones, label by the light text.
+
+    Of equal texts the first stays by ``order_col``, such as the row numbers that file readers give, else by the id.
+    """
+    clean = profile.dedup_keep_first(profile.drop_missing_text(raw, text), text, order_col or id_col)
     ready = preprocess(clean, tables, text, id_col, filter_lang)
     kept = profile.drop_empty_processed(ready, "processed_text")
     return label_texts(kept, lexicon, tables.negations if negated else None, "light_text", id_col=id_col)
@@ -84,10 +92,14 @@ def load_classifier(spark: SparkSession, path: str) -> FittedClassifier:
     """Reload a saved classifier; a missing part is an error."""
     try:
         record = load_metadata(spark, path)
-        terms = spark.read.parquet(f"{path}/vocabulary").collect()
+        terms = spark.read.parquet(f"{path}/vocabulary").limit(features.MAX_READ + 1).collect()
         model = KINDS[record["kind"]].load(f"{path}/model")
-    except Exception as error:
+    except (AnalysisException, Py4JJavaError) as error:
+        if not re.search("PATH_NOT_FOUND|[Pp]ath does not exist", str(error)):
+            raise
         raise FileNotFoundError(f"no complete classifier under {path}; train one first") from error
+    if len(terms) > features.MAX_READ:
+        raise ValueError(f"the vocabulary under {path} has over {features.MAX_READ} terms, which is too many for a constant")
     return FittedClassifier(
         record["kind"],
         model,
@@ -188,7 +200,7 @@ def train(labelled: DataFrame, options: TrainOptions | None = None, id_col: str
     predictions = evaluated()
     report(MODEL_NAMES[options.kind], "base", predictions)
     base_name = MODEL_NAMES[options.kind]
-    best = {k: str(v) for k, v in options.settings.items()}
+    best = {k: str(v) for k, v in _settings(options).items()}
     if options.tune and options.kind == "random-forest":
         fitted.model, board = models.tune_forest(
             vectors, len(classes), options.space, options.n_iter, options.folds, seed=options.seed
@@ -198,20 +210,32 @@ def train(labelled: DataFrame, options: TrainOptions | None = None, id_col: str
         predictions = evaluated()
         report("Random Forest Tuned", "tuned", predictions)
     reports["model_comparison"] = evaluate.model_comparison(summaries)
-    reports["overfit_gap"] = evaluate.overfit_gap(predictions)
+    gap = stage(evaluate.overfit_gap(predictions), "gap")
+    reports["overfit_gap"] = gap
     if options.kind == "random-forest":
         terms = tfidf.frame(labelled.sparkSession)
         reports["feature_importances"] = models.feature_importances(fitted.model, terms)
 
     final_name = list(summaries)[-1]
     base, final = summaries[base_name].first(), summaries[final_name].first()
-    metadata = model_metadata(options, classes, best, base.asDict(), final.asDict())
+    metadata = model_metadata(options, classes, best, base.asDict(), final.asDict(), gap.first().asDict())
     return TrainResult(fitted, predictions, reports, metadata)
 
 
-def model_metadata(options: TrainOptions, classes: list[str], best: dict, base: dict, final: dict) -> dict:
-    """One record that says what was trained, how, and how good it is."""
-    return {
+def _settings(options: TrainOptions) -> dict:
+    """What the classifier is fitted with, defaults included."""
+    fit = models.fit_weighted_softmax if options.kind == "softmax" else models.forest
+    own = inspect.signature(fit).parameters
+    defaults = {k: v.default for k, v in own.items() if v.default is not inspect.Parameter.empty and k not in ("seed", "weight")}
+    return defaults | options.settings
+
+
+def model_metadata(options: TrainOptions, classes: list[str], best: dict, base: dict, final: dict, gap: dict | None = None) -> dict:
+    """One record that says what was trained, how, and how good it is.
+
+    A softmax also tells its training settings and how it does on the rows it was fitted on.
+    """
+    record = {
         "created_at": datetime.now(timezone.utc).isoformat(),
         "model_type": options.kind,
         "classes": classes,
@@ -229,6 +253,15 @@ def model_metadata(options: TrainOptions, classes: list[str], best: dict, base:
             "min_df": options.min_df,
         },
     }
+    if options.kind == "softmax" and gap:
+        record["training_args"] = _settings(options)
+        record["performance"] |= {
+            "train_accuracy": round(gap["train_accuracy"], 4),
+            "test_accuracy": round(gap["test_accuracy"], 4),
+            "f1_macro_test": round(final["f1_macro"], 4),
+            "train_test_gap": round(gap["gap"], 4),
+        }
+    return record
 
 
 def explore_reports(labelled: DataFrame, ts: str | None = None) -> dict[str, DataFrame]:
@@ -246,11 +279,19 @@ def explore_reports(labelled: DataFrame, ts: str | None = None) -> dict[str, Dat
     return out
 
 
-def save_run(result: TrainResult, spark: SparkSession, model_dir: str, reports_dir: str) -> None:
-    """Write the classifier with its metadata, and every report table."""
+def save_run(
+    result: TrainResult, spark: SparkSession, model_dir: str, reports_dir: str, labelled: DataFrame | None = None, ts: str | None = None
+) -> None:
+    """Write the classifier with its metadata, and every report: tables, and classification reports as text too.
+
+    Given the labelled rows, exploration tables are written as well, trends with a column of times.
+    """
     result.fitted.save(spark, model_dir, result.metadata)
-    for name, table in result.reports.items():
+    explored = explore_reports(labelled, ts) if labelled is not None else {}
+    for name, table in (result.reports | explored).items():
         write_report(table, f"{reports_dir}/{name}", "json" if name == "search_leaderboard" else "csv")
+        if name.startswith("classification_report"):
+            write_text(spark, evaluate.report_text(table), f"{reports_dir}/{name}_text")
 
 
 __all__ = [

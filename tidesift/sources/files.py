@@ -235,6 +235,11 @@ def write_report(table: DataFrame, path: str, format: str = "csv") -> None:
     writer.option("header", True).csv(path) if format == "csv" else writer.json(path)
 
 
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A short report as one text file."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
 def result_json(scored: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Each prediction record as one JSON text."""
     fields = [F.col(c) for c in scored.columns if c != id_col]
