@@ -8,9 +8,10 @@
 3. In a cell the classes are the leaves of a signature tree, sorted by size. Inner nodes hold the OR of bitmaps and
    the range of sizes. A dual traversal drops pairs of nodes whose largest possible overlap is too small.
 4. Bitmaps of long sets are nearly full. Their pairs must also pass a bound on the overlap from how many n-grams
-   fall into each of as many bins.
+   fall into each of some bins, before they leave the cell, and of more bins afterwards.
 5. What is left is verified on the whole sets. The first traversal pairs each class of a larger cell with one
-   other; the second runs over what is still in different components, and leaves nothing out.
+   other, that with the largest possible overlap, so that a group of copies is joined by about as many links as it
+   has members; the second runs over what is still in different components, and leaves nothing out.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from tidesift.sources.scratch import stage
 
 #: Bits of a signature; places in the table of counts; bits of the filter for ids.
 SIGNATURE, COUNTERS, FILTER = 1024, 1 << 20, 1 << 22
+#: Bins of long sets that go with them to cells.
+COARSE = 256
 #: Classes in a leaf, children of a node, most classes of a cell in one task, and pairs compared at a time.
 LEAF, FAN, BLOCK, STEP = 16, 8, 4096, 1 << 16
 #: Partners of a class whose sets are compared in one task.
@@ -130,8 +133,15 @@ def histograms(grams: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.array(out, pa.binary())
 
 
+def coarse(bins: pa.Array) -> pa.Array:
+    """Histograms of ``COARSE`` bins, 255 at most in each, from those of ``SIGNATURE``."""
+    full = [b.as_py() for b in bins]
+    sums = {i: np.frombuffer(b, np.uint8).reshape(-1, COARSE).sum(0, dtype=np.int64) for i, b in enumerate(full) if b is not None}
+    return pa.array([np.minimum(sums[i], 255).astype(np.uint8).tobytes() if i in sums else None for i in range(len(full))], pa.binary())
+
+
 def profiles(docs: DataFrame, doc_id: str, text: str, rule: Rule) -> DataFrame:
-    """``doc_id, size, print, prefix, bits, bins`` of each row; an empty set has neither print nor prefix."""
+    """``doc_id, size, print, prefix, bits, bins, coarse`` of each row; an empty set has neither print nor prefix."""
     spark = docs.sparkSession
     levels = spark.sparkContext.broadcast(frequency_levels(docs, text, rule))
 
@@ -145,20 +155,20 @@ def profiles(docs: DataFrame, doc_id: str, text: str, rule: Rule) -> DataFrame:
                 keep = place < rule.prefix(counts)[rows]
                 chosen = grams[order][keep]
                 size = np.bincount(rows[keep], minlength=len(counts))
-                bits = signatures(grams, counts)
+                bits, bins = signatures(grams, counts), histograms(grams, counts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("doc_id"), pa.array(counts), fingerprints(grams, counts),
                         pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(chosen.view(np.int64))),
                         binaries(bits.reshape(-1), np.full(len(bits), bits.shape[1])).cast(pa.binary()),
-                        histograms(grams, counts),
+                        bins, coarse(bins),
                     ],
-                    names=["doc_id", "size", "print", "prefix", "bits", "bins"],
+                    names=["doc_id", "size", "print", "prefix", "bits", "bins", "coarse"],
                 )
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, size long, print binary, prefix array<long>, bits binary, bins binary")
+    return rows.mapInArrow(run, f"doc_id {kind}, size long, print binary, prefix array<long>, bits binary, bins binary, coarse binary")
 
 
 @dataclass
@@ -237,6 +247,32 @@ def _leaves(size: np.ndarray, group: np.ndarray, bits: np.ndarray) -> Level:
     return Level(bits, size, size, group, group, size - _count(bits), size, size)
 
 
+class _Bound:
+    """The largest possible overlap of pairs of rows: by bitmaps, and of two long sets by bins too."""
+
+    def __init__(self, size: np.ndarray, leaves: Level, bins: pa.ChunkedArray):
+        self.size, self.leaves = size, leaves
+        long = [b.as_py() for b in bins]
+        self.at = np.full(len(size), -1)
+        has = np.flatnonzero([b is not None for b in long])
+        self.at[has] = np.arange(len(has))
+        self.bins = np.frombuffer(b"".join(long[i] for i in has), np.uint8).reshape(-1, COARSE)
+        self.rest = size[has] - self.bins.sum(1, dtype=np.int64)  # n-grams over what a bin can count
+
+    def most(self, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+        out = np.minimum(self.size[p], self.size[q])
+        for i in range(0, len(p), STEP):
+            a, b = p[i : i + STEP], q[i : i + STEP]
+            own = _count(self.leaves.bits[a] & self.leaves.bits[b]) + np.minimum(self.leaves.lost[a], self.leaves.lost[b])
+            x, y = self.at[a], self.at[b]
+            long = np.flatnonzero((x >= 0) & (y >= 0))
+            x, y = x[long], y[long]
+            shared = np.minimum(self.bins[x], self.bins[y]).sum(1, dtype=np.int64) + np.minimum(self.rest[x], self.rest[y])
+            own[long] = np.minimum(own[long], shared)
+            out[i : i + STEP] = np.minimum(out[i : i + STEP], own)
+        return out
+
+
 def _cell_pairs(rule: Rule, forest: bool):
     """Pairs of a task's cells, whose rows come sorted by cell and size."""
 
@@ -248,6 +284,7 @@ def _cell_pairs(rule: Rule, forest: bool):
         ids, size, group, side = (rows.column(c).to_numpy() for c in ("id", "size", "root", "side"))
         bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint8).reshape(len(cell), -1)
         whole = _leaves(size, group, bits)
+        bound = _Bound(size, whole, rows.column("coarse"))
         counts = np.diff(bounds)
         small = counts <= LEAF  # a tree of one leaf: all its pairs, many cells together
         begin = bounds[:-1][small]
@@ -258,14 +295,21 @@ def _cell_pairs(rule: Rule, forest: bool):
             p, q = _expand(both, np.arange(len(n)), np.arange(len(n)))
             p, q = p[p < q], q[p < q]
             fit = _possible(whole, p, q, rule)
+            p, q = p[fit], q[fit]
+            fit = bound.most(p, q) >= rule.overlap(size[p], size[q])
             out.append((p[fit], q[fit]))
         for k in np.flatnonzero(~small):
             at = slice(bounds[k], bounds[k + 1])
-            p, q = traverse(_leaves(size[at], group[at], bits[at]), rule)
-            if forest:  # one partner for each
+            p, q = (x + bounds[k] for x in traverse(_leaves(size[at], group[at], bits[at]), rule))
+            most = bound.most(p, q)
+            fit = most >= rule.overlap(size[p], size[q])
+            p, q, most = p[fit], q[fit], most[fit]
+            if forest:  # the best partner for each
+                order = np.lexsort((p, -most / (size[p] + size[q]), q))
+                p, q = p[order], q[order]
                 q, one = np.unique(q, return_index=True)
                 p = p[one]
-            out.append((p + bounds[k], q + bounds[k]))
+            out.append((p, q))
         p, q = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, int),) * 2
         keep = (side[p] != side[q]) | (side[p] < 0)
         a, b = np.minimum(ids[p], ids[q])[keep], np.maximum(ids[p], ids[q])[keep]
@@ -297,7 +341,7 @@ def _cell_pairs(rule: Rule, forest: bool):
 
 
 def candidates(cells: DataFrame, rule: Rule, forest: bool) -> DataFrame:
-    """``(a, b)``, each once, and whether both are long, from rows ``token, n, id, size, root, bits`` of cells with ``n`` classes."""
+    """``(a, b)``, each once, and whether both are long, from rows ``token, n, id, size, root, bits, coarse`` of cells with ``n`` classes."""
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     rows = cells.withColumn("blocks", blocks).withColumn("own", own)
@@ -306,7 +350,7 @@ def candidates(cells: DataFrame, rule: Rule, forest: bool) -> DataFrame:
         "token",
         F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"),
-        "id", "size", "root", "bits",
+        "id", "size", "root", "bits", "coarse",
         F.when(F.col("own") == F.col("other"), -1).otherwise(F.when(F.col("own") < F.col("other"), 0).otherwise(1)).alias("side"),
     )
     rows = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "size", "id")
@@ -424,10 +468,10 @@ def join(docs: DataFrame, doc_id: str, text: str, rule: Rule = Rule()) -> DataFr
     rows = stage(profiles(docs, doc_id, text, rule), "profiles")
     full = rows.where(F.col("print").isNotNull())
     classes = full.groupBy("print", "size").agg(
-        F.min(F.struct("doc_id", "prefix", "bits", "bins")).alias("one"), F.min("doc_id").alias("doc_id")
+        F.min(F.struct("doc_id", "prefix", "bits", "bins", "coarse")).alias("one"), F.min("doc_id").alias("doc_id")
     )
     classes = classes.select(
-        F.monotonically_increasing_id().alias("id"), "print", "size", "doc_id", F.col("one.doc_id").alias("sample"), "one.prefix", "one.bits", "one.bins"
+        F.monotonically_increasing_id().alias("id"), "print", "size", "doc_id", F.col("one.doc_id").alias("sample"), "one.prefix", "one.bits", "one.bins", "one.coarse"
     )
     classes = stage(classes, "classes")
 
@@ -438,7 +482,7 @@ def join(docs: DataFrame, doc_id: str, text: str, rule: Rule = Rule()) -> DataFr
     )
     found = found.where("n > 1").groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token", "n")
     cells = stage(members.join(found, "token").select("token", "n", "id"), "cells")
-    facts = classes.select("id", "size", "bits")
+    facts = classes.select("id", "size", "bits", "coarse")
 
     first = candidates(cells.join(facts, "id").withColumn("root", F.col("id")), rule, forest=True)
     first = stage(plausible(first, classes, rule), "pairs")
