@@ -19,8 +19,8 @@ from tidesift.llm.textbytes import Texts, pieces, texts, with_columns
 
 #: Bytes of a window; windows do not overlap, the last of a text is filled with byte 0.
 WINDOW = 192
-#: Bounds on the training texts of each language and on the windows taken from each, spread over the whole text.
-ROWS_PER_CLASS, WINDOWS_PER_ROW = 800, 4
+#: Bound on the training texts of each language; all windows of each are learnt from.
+ROWS_PER_CLASS = 300
 UNKNOWN = "und"
 
 
@@ -140,8 +140,7 @@ def fit(rows: DataFrame, text: str, label: str) -> Model:
                 first = np.cumsum(counts) - counts
                 for i, y in enumerate(piece.column(label).to_pylist()):
                     if counts[i]:
-                        at = np.unique(np.linspace(0, counts[i] - 1, WINDOWS_PER_ROW).astype(int))
-                        own = [found[first[i] + k].tobytes() for k in at]
+                        own = [w.tobytes() for w in found[first[i] : first[i] + counts[i]]]
                         yield pa.RecordBatch.from_pydict({"window": own, "label": [y] * len(own)})
 
     rows = rows.where(rows[label].isNotNull()).select(text, label)
