@@ -33,6 +33,8 @@ SIGNATURE, COUNTERS, FILTER = 1024, 1 << 20, 1 << 22
 COARSE = 256
 #: Classes in a leaf, children of a node, most classes of a cell in one task, and pairs compared at a time.
 LEAF, FAN, BLOCK, STEP = 16, 8, 4096, 1 << 16
+#: Pairs that a task holds to drop repeated ones.
+HELD = 1 << 20
 #: Partners of a class whose sets are compared in one task.
 SLOT = 64
 
@@ -317,7 +319,7 @@ def _cell_pairs(rule: Rule, forest: bool):
         a, b, long = np.unique(np.stack([a, b, long]), axis=1) if len(a) else (a, b, long)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "long": pa.array(long.astype(bool))})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         held: list[pa.RecordBatch] = []
         key = ("token", "i", "j")
         for batch in batches:
@@ -330,30 +332,47 @@ def _cell_pairs(rule: Rule, forest: bool):
             cut = int(np.flatnonzero(same)[0])  # rows are sorted: from here on the last cell, which may go on
             if cut or (held and [held[-1].column(c)[-1].as_py() for c in key] != last):
                 done = pa.Table.from_batches([*held, batch.slice(0, cut)])
-                yield from pairs(done).to_batches()
+                yield pairs(done)
                 held = [batch.slice(cut)]
             else:
                 held.append(batch)
         if held:
-            yield from pairs(pa.Table.from_batches(held)).to_batches()
+            yield pairs(pa.Table.from_batches(held))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of a task's cells; those that several of its cells hold leave it once, as far as ``HELD`` pairs tell."""
+        found: list[pa.Table] = []
+        for table in cells(batches):
+            found.append(table)
+            if sum(t.num_rows for t in found) > HELD:
+                found = [pa.concat_tables(found).group_by(["a", "b", "long"]).aggregate([])]
+                if found[0].num_rows > HELD // 2:
+                    yield from found.pop().to_batches()
+        if found:
+            yield from pa.concat_tables(found).group_by(["a", "b", "long"]).aggregate([]).to_batches()
 
     return run
 
 
 def candidates(cells: DataFrame, rule: Rule, forest: bool) -> DataFrame:
-    """``(a, b)``, each once, and whether both are long, from rows ``token, n, id, size, root, bits, coarse`` of cells with ``n`` classes."""
+    """``(a, b)``, each once, and whether both are long, from rows ``token, n, home, id, size, root, bits, coarse``.
+
+    ``n`` is the number of classes of a cell and ``home`` the first of them: cells of one group of copies, which differ
+    by few classes and hold the same pairs over and over, mostly have the same and meet in one task. Blocks of larger
+    cells are dealt out by themselves.
+    """
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
     rows = cells.withColumn("blocks", blocks).withColumn("own", own)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
-        "token",
+        "token", "home",
         F.least("own", "other").alias("i"),
         F.greatest("own", "other").alias("j"),
         "id", "size", "root", "bits", "coarse",
         F.when(F.col("own") == F.col("other"), -1).otherwise(F.when(F.col("own") < F.col("other"), 0).otherwise(1)).alias("side"),
     )
-    rows = rows.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "size", "id")
+    rows = rows.repartition("home", "i", "j").drop("home").sortWithinPartitions("token", "i", "j", "size", "id")
     return rows.mapInArrow(_cell_pairs(rule, forest), "a long, b long, long boolean").distinct()
 
 
@@ -478,10 +497,10 @@ def join(docs: DataFrame, doc_id: str, text: str, rule: Rule = Rule()) -> DataFr
     # dealt by token once, for the counts and for the join with them
     members = classes.select(F.explode("prefix").alias("token"), "id").where("token is not null").repartition("token")
     found = members.groupBy("token").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")
+        F.count("*").alias("n"), F.min("id").alias("home"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")
     )
-    found = found.where("n > 1").groupBy("n", "x", "y").agg(F.min("token").alias("token")).select("token", "n")
-    cells = stage(members.join(found, "token").select("token", "n", "id"), "cells")
+    found = found.where("n > 1").groupBy("n", "x", "y").agg(F.min("token").alias("token"), F.min("home").alias("home"))
+    cells = stage(members.join(found.select("token", "n", "home"), "token").select("token", "n", "home", "id"), "cells")
     facts = classes.select("id", "size", "bits", "coarse")
 
     first = candidates(cells.join(facts, "id").withColumn("root", F.col("id")), rule, forest=True)
