@@ -93,3 +93,31 @@ def test_stage_audit(rows):
     assert [tuple(r) for r in profile.stage_audit(df, "text", "processed").collect()] == [
         ("1_drop_missing", 4, 3, 1), ("2_dedup", 3, 2, 1), ("3_drop_empty", 2, 1, 1),
     ]
+
+
+def test_search_draws_models_that_differ():
+    """No setting that Spark lacks, no two names of one model, and as many as are asked for."""
+    space = sampling.effective_space()
+    assert set(space) == set(sampling.SPARK_SETTINGS) and space["max_depth"] == [30, 10, 20]
+    grid = sampling.sample_param_grid(space, 30)
+    assert len({str(g) for g in grid}) == 30
+    assert sampling.effective_space({"max_depth": [None, 50, 30, 8], "min_samples_split": [2, 5]}) == {"max_depth": [30, 8]}
+
+
+def test_first_by_input_order(spark, rows):
+    from tidesift.operators.preprocess import default_tables
+    from tidesift.plans import pipeline as pl
+    from tidesift.sources import wordlists
+
+    raw = rows([("10", "bagus sekali", 1), ("9", "bagus sekali", 0), ("8", "bagus sekali", 2)], "id_str string, text string, row_number long")
+    lexicon = wordlists.lexicon_frame(spark, wordlists.POSITIVE)
+    build = lambda **o: pl.build_labelled(raw, default_tables(spark), lexicon, id_col="id_str", **o).collect()
+    assert [r.id_str for r in build()] == ["10"] and [r.id_str for r in build(order_col="row_number")] == ["9"]
+
+
+def test_audit_of_raw_texts_prepares_each_once(rows):
+    df = rows([(1, "a"), (2, "a"), (3, "-"), (4, None), (5, "-")], "doc_id int, text string")
+    prepare = lambda d: d.withColumn("processed", F.translate("text", "-", ""))
+    assert [tuple(r) for r in profile.audit_texts(df, prepare, "text", "processed").collect()] == [
+        ("1_drop_missing", 5, 4, 1), ("2_dedup", 4, 2, 2), ("3_drop_empty", 2, 1, 1),
+    ]

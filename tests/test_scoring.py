@@ -77,7 +77,18 @@ def test_stream_equals_batch_and_restarts(spark, requests, lexicon, tmp_path):
 def test_saved_classifier_scores_the_same(spark, sf_dir, tmp_path, kind):
     settings = {"num_trees": 3, "max_depth": 3} if kind == "random-forest" else {"max_iter": 5}
     result = pl.train(base.labelled(spark, sf_dir), pl.TrainOptions(kind, max_features=100, settings=settings))
-    pl.save_run(result, spark, str(tmp_path / "model"), str(tmp_path / "reports"))
+    labelled = base.labelled(spark, sf_dir).withColumn("ts", F.timestamp_seconds(F.col("doc_id") * 86_400))
+    pl.save_run(result, spark, str(tmp_path / "model"), str(tmp_path / "reports"), labelled, "ts")
+    text = spark.read.text(str(tmp_path / "reports/classification_report_base_text"), wholetext=True).first()[0]
+    assert "precision" in text and all(c in text for c in CLASSES)
+    assert {"trend_month", "top_words", "label_distribution"} <= {p.name for p in (tmp_path / "reports").iterdir()}
+    record = pl.load_metadata(spark, str(tmp_path / "model"))
+    assert record["best_params"].items() >= {k: str(v) for k, v in settings.items()}.items()
+    if kind == "softmax":
+        assert record["training_args"]["max_iter"] == 5 and record["best_params"]["reg"] == "0.01"
+        assert abs(record["performance"]["train_accuracy"] - record["performance"]["test_accuracy"] - record["performance"]["train_test_gap"]) < 2e-4
+    else:
+        assert record["best_params"]["min_samples_leaf"] == "2"
     assert spark.read.option("header", True).csv(str(tmp_path / "reports/model_comparison")).count() == 1
     loaded = pl.load_classifier(spark, str(tmp_path / "model"))
     assert pl.load_metadata(spark, str(tmp_path / "model"))["label_mapping"] == {c: k for k, c in enumerate(CLASSES)}
@@ -92,6 +103,10 @@ def test_saved_classifier_scores_the_same(spark, sf_dir, tmp_path, kind):
 def test_missing_classifier(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         pl.load_classifier(spark, str(tmp_path / "none"))
+    path = str(tmp_path / "broken")
+    spark.createDataFrame([('{"kind": "none"',)], "value string").write.text(f"{path}/metadata")
+    with pytest.raises(ValueError):  # what is there but cannot be read is no missing classifier
+        pl.load_classifier(spark, path)
 
 
 def test_unknown_order(spark, sf_dir):

@@ -10,9 +10,10 @@ from tidesift.plans.catalog.base import (
     SQL_TEXTS, SQL_WORD_TABLES, documents, event_texts, lexicon, query, sql_argmax, sql_proba, sql_score_cte,
     sql_token_ctes, table, tables,
 )
-from tidesift.plans.catalog.texts import SQL_LEXICON_SCORED, SQL_TURNS, turns
-from tidesift.sources.scratch import scratch_path
-from tidesift.streaming.score import read_requests, score_stream
+from tidesift.plans.catalog.labelling import SQL_LISTS, corpus_lexicon
+from tidesift.plans.catalog.texts import SQL_LEXICON_SCORED, SQL_TURN_CTES, SQL_TURNS, load_word_map, turns
+from tidesift.sources.scratch import scratch_path, stage
+from tidesift.streaming.score import read_requests, read_scored, score_batches, score_stream
 
 CLASSES = lx.CLASSES
 
@@ -93,11 +94,11 @@ def scorers(spark: SparkSession) -> dict[str, sc.Route]:
     return {"user": sc.Route(words, lex), "assistant": sc.Route(words, lex, negated=False)}
 
 
-def _sql_routed() -> str:
+def _sql_routed(head: str = SQL_TURNS, lexicon: str = "lexicon") -> str:
     p = sql_proba("coalesce(CASE role WHEN 'user' THEN n.score ELSE q.score END, 0)")
     blank = "l.light_text IS NULL"
     scored = {c: f"CASE WHEN {blank} THEN 0 ELSE {p[c]} END" for c in CLASSES}
-    return f"""{SQL_TURNS}, {sql_score_cte("neg_scores", "turn_norm")}, {sql_score_cte("plain_scores", "turn_norm", negated=False)},
+    return f"""{head}, {sql_score_cte("neg_scores", "turn_norm", True, lexicon)}, {sql_score_cte("plain_scores", "turn_norm", False, lexicon)},
 requests AS (
   SELECT *, CASE WHEN role NOT IN ('user', 'assistant') THEN 'unknown model'
     WHEN trim(text) = '' THEN 'text must not be empty' END AS error FROM turn_docs)
@@ -116,15 +117,29 @@ def route_by_model(spark: SparkSession, sf: str) -> DataFrame:
     return sc.route_by_model(turns(spark, sf).withColumnRenamed("role", "model"), scorers(spark))
 
 
-@query(_sql_routed())
-def score_stream_requests(spark: SparkSession, sf: str) -> DataFrame:
-    """The same requests as a stream of files, scored to a Parquet sink and read back."""
+def _arriving(spark: SparkSession, sf: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf}/conversations.parquet").schema
-    stream = read_requests(spark, sf, schema, "conversations*.parquet").select(
+    return read_requests(spark, sf, schema, "conversations*.parquet").select(
         F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("doc_id"),
         F.col("role").alias("model"),
         "text",
     )
+
+
+@query(_sql_routed())
+def score_stream_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """The same requests as a stream of files, scored to a Parquet sink and read back."""
     sink = scratch_path(spark, "scored")
-    score_stream(stream, scorers(spark), sink, scratch_path(spark, "scored-log")).awaitTermination()
+    score_stream(_arriving(spark, sf), scorers(spark), sink, scratch_path(spark, "scored-log")).awaitTermination()
     return spark.read.parquet(sink)
+
+
+@query(_sql_routed(f"{SQL_LISTS}, {SQL_TURN_CTES}", "corpus_lexicon"))
+def score_stream_large(spark: SparkSession, sf: str) -> DataFrame:
+    """As a stream against a lexicon of all labelled words, and of all pairs of neighbours, which one word never equals."""
+    pairs = load_word_map(spark, sf).select(F.concat_ws(" ", "word", "formal").alias("word"), F.lit(1).alias("weight"))
+    large = stage(corpus_lexicon(spark, sf).unionByName(pairs), "lexicon")
+    words, sink = tables(spark), scratch_path(spark, "scored")
+    routes = {"user": sc.Route(words, large), "assistant": sc.Route(words, large, negated=False)}
+    score_batches(_arriving(spark, sf), routes, sink, scratch_path(spark, "scored-log")).awaitTermination()
+    return read_scored(spark, sink)

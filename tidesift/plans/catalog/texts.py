@@ -132,6 +132,21 @@ def write_predictions(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(scored.schema).option("header", True).option("escape", '"').csv(path).fillna("")
 
 
+@query(f"""
+WITH lines AS (SELECT * FROM (
+  SELECT doc_id, unnest(string_split_regex(text, '\\r\\n|\\r|\\n')) AS line, generate_subscripts(string_split_regex(text, '\\r\\n|\\r|\\n'), 1) AS k FROM documents)),
+kept AS (SELECT {_SQL_STRIP} AS text, row_number() OVER (ORDER BY doc_id, k) AS n FROM lines WHERE {_SQL_STRIP} <> '')
+SELECT row_number() OVER (ORDER BY n) - 1 AS place, text AS text_original FROM kept
+""")
+def score_lines_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of files to scores to CSV: the place of each line in what was written is its place in what was read."""
+    source, out = scratch_path(spark, "lines"), scratch_path(spark, "scores")
+    documents(spark, sf, "doc_id", "text").orderBy("doc_id").select("text").write.text(source)
+    texts = files.scan_text_lines(spark, source, number="doc_id")
+    files.write_predictions(score_lexicon(texts, lexicon(spark), tables(spark)), out, number="doc_id")
+    return files.read_csv(spark, out, number="place").select("place", "text_original")
+
+
 _SQL_DISTRIBUTION = f"""{SQL_LABELLED}
 SELECT label, count(*) AS n, round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 6) AS pct FROM labelled GROUP BY label
 """

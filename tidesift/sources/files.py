@@ -42,9 +42,12 @@ def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 NUMBER = "row_number"
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their file, the byte range they were read in, and their place in it."""
-    read = spark.read.option("lineSep", "\n").text(path)
+def _lines(spark: SparkSession, path: str, ends: str | None = None) -> DataFrame:
+    """Lines with their file, the byte range they were read in, and their place in it.
+
+    Without ``ends`` they end as Spark's reader has it: at line feeds, carriage returns and both together.
+    """
+    read = (spark.read.option("lineSep", ends) if ends else spark.read).text(path)
     return read.select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"),
@@ -83,7 +86,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     lines of one that goes on meet by the record's number. Quotes stand around whole fields and are doubled inside.
     """
     quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
-    lines = _lines(spark, path).withColumn("quotes", quotes.cast("long")).withColumn("line", F.regexp_replace("line", "\r$", ""))
+    lines = _lines(spark, path, "\n").withColumn("quotes", quotes.cast("long")).withColumn("line", F.regexp_replace("line", "\r$", ""))
     in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     open_ = F.coalesce(F.sum("q").over(in_file), F.lit(0)) % 2
     parity = _ranges(lines, F.sum("quotes").alias("q")).select("file", "block", open_.alias("open"), ((open_ + F.col("q")) % 2).alias("goes_on"))
