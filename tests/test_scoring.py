@@ -5,7 +5,7 @@ from tidesift.operators import models, scoring as sc
 from tidesift.operators.lexicon import CLASSES
 from tidesift.operators.preprocess import default_tables, preprocess_for_scoring
 from tidesift.plans import pipeline as pl
-from tidesift.plans.catalog import base, labelling, learning
+from tidesift.plans.catalog import base, labelling, learning, serving
 from tidesift.sources import wordlists
 from tidesift.streaming.score import read_requests, read_scored, score_batches, score_stream
 
@@ -212,3 +212,17 @@ def test_large_dictionaries_on_a_stream(spark, rows, tmp_path, monkeypatch):
         total = weigh(i) - weigh(turned) + weigh(after)
         want[str(i)] = "Positif" if total > 0 else "Negatif" if total < 0 else "Netral"
     assert {r.doc_id: r.sentiment for r in got.where("error IS NULL").collect()} == want
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_stream_of_a_table_in_several_files(spark, rows, tmp_path, files):
+    """The files of a table that is a folder have names of their own; a table may also be one file."""
+    data = [(k, 0, role, text) for k, (role, text) in enumerate([("user", "for with"), ("assistant", "not was"), ("system", "x"), ("user", " "), ("user", None)])]
+    df = rows(data, "conv_id long, turn long, role string, text string")
+    if files == 1:
+        df.coalesce(1).write.parquet(str(tmp_path / "part"))
+        next((tmp_path / "part").glob("*.parquet")).rename(tmp_path / "conversations.parquet")
+    else:
+        df.repartition(files).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r.doc_id: (r.sentiment, r.error) for r in serving.score_stream_requests(spark, str(tmp_path)).collect()}
+    assert got == {"0:0": ("Positif", None), "1:0": ("Negatif", None), "2:0": (None, "unknown model"), "3:0": (None, "text must not be empty"), "4:0": (None, "text must not be empty")}
