@@ -2,12 +2,13 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from tidesift.llm import langid_cnn, quality, sentencepiece_table, simple8b, token_files, toxicity
+from tidesift.llm import chunks, langid_cnn, quality, sentencepiece_table, simple8b, token_files, toxicity
 from tidesift.llm.queries import QUERIES, table
 from tidesift.sources.scratch import scratch_path
 
@@ -70,6 +71,41 @@ def test_token_files_equal_the_library(spark, rows):
     assert crc == {r.doc_id: zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in got}
 
 
+def test_memory_keeps_frequent_chunks(monkeypatch):
+    """Past its bound the memory forgets chunks that came once, and what it gives stays right."""
+    asked = []
+
+    def lengths(found):
+        asked.extend(found.to_pylist())
+        sizes = np.array([len(w) for w in found.to_pylist()], np.int64)
+        return np.repeat(sizes, sizes), sizes
+
+    monkeypatch.setattr(chunks, "REMEMBERED", 10)
+    memory = chunks.ChunkMemory(lengths)
+    for k in range(30):
+        words = ["often", "", *("x" * (k + 3 + j) for j in (100, 200, 300))]
+        ids, sizes = memory.find(pa.array(words))
+        assert sizes.tolist() == [len(w) for w in words] and ids.tolist() == [len(w) for w in words for _ in w]
+        assert len(memory.chunks) <= 10
+    assert asked.count("often") == 1
+    monkeypatch.setattr(chunks, "REMEMBERED_BYTES", 8)
+    assert memory.find(pa.array(["often", "new"]))[1].tolist() == [5, 3] and not len(memory.chunks)
+
+
+def test_joined_chunks_have_their_own_ids():
+    """Chunks go through the tokenizer together; ends of texts, rare blanks and added tokens do not run into others."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [*ODD, " x<|endoftext|>y <|endoftext|> z", " a\xa0", " b", "\n\n c\r\n", " d ", " e", "it's we'll 's ' s", "\x1c a \x85", " é 😀 中"]
+    library = token_files._tokenizer(path)
+    ids, counts = token_files.tokenize(pa.array(texts, pa.string()), path)
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+    cut, _, _ = chunks.by_word(pa.array(texts, pa.string()))
+    many, sizes = token_files._encode(cut, path)
+    each, alone = token_files._encode_each(cut.to_pylist(), path)
+    assert many.tolist() == each.tolist() and sizes.tolist() == alone.tolist()
+
+
 def test_simple8b_round_trip():
     rng = np.random.default_rng(0)
     for size in (0, 1, 5, 1023, 1024, 5000):

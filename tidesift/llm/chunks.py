@@ -1,7 +1,9 @@
-"""Texts cut where no token can cross, and the distinct cuts of many texts."""
+"""Texts cut where no token can cross, the distinct cuts of many texts, and what is remembered of them."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,6 +15,11 @@ ODD_SPACE = (
     r"[\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]"
 )
 
+#: Bytes of text whose distinct chunks are looked up together.
+PIECE = 8 << 20
+#: Bounds on the chunks that a Python worker remembers, and on their bytes.
+REMEMBERED, REMEMBERED_BYTES = 1_000_000, 64 << 20
+
 
 def _distinct(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     buffers = [pa.py_buffer(np.ascontiguousarray(x)) for x in (offsets, data)]
@@ -66,3 +73,48 @@ def spread(values: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarr
     size = sizes[codes]
     ends = np.cumsum(size)
     return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[codes] - (ends - size), size)]
+
+
+class ChunkMemory:
+    """Ids of chunks seen before, so that ``encode`` sees each distinct chunk once while it is remembered.
+
+    ``encode`` gives the ids of all given chunks, one after the other, and how many each has. Past a bound, chunks that
+    were asked for once are forgotten, and of others those asked for least.
+    """
+
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]):
+        self.encode = encode
+        self._clear()
+
+    def _clear(self) -> None:
+        self.chunks = pa.array([], pa.large_string())
+        self.ids, self.sizes, self.hits = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def find(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct chunks, one after the other, and how many each has."""
+        chunks = chunks.cast(pa.large_string())
+        at = pc.fill_null(pc.index_in(chunks, value_set=self.chunks), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            unknown = chunks.take(pa.array(new))
+            ids, sizes = self.encode(unknown)
+            at[new] = len(self.sizes) + np.arange(len(new))
+            self.chunks = pa.concat_arrays([self.chunks, unknown])
+            self.ids, self.sizes = np.concatenate((self.ids, ids.astype(np.uint32))), np.concatenate((self.sizes, sizes))
+            self.hits = np.concatenate((self.hits, np.zeros(len(new), np.int64)))
+        self.hits[at] += 1
+        found = spread(self.ids, self.sizes, at), self.sizes[at]
+        if len(self.chunks) > REMEMBERED or self.chunks.nbytes > REMEMBERED_BYTES:
+            self._forget()
+        return found
+
+    def _forget(self) -> None:
+        most = REMEMBERED // 2
+        kept = np.flatnonzero(self.hits > 1)
+        if len(kept) > most:
+            kept = np.sort(kept[np.argpartition(-self.hits[kept], most)[:most]])
+        self.chunks, self.ids = self.chunks.take(pa.array(kept)), spread(self.ids, self.sizes, kept)
+        # Halved, so that what was frequent long ago does not stay for ever.
+        self.sizes, self.hits = self.sizes[kept], self.hits[kept] // 2
+        if self.chunks.nbytes > REMEMBERED_BYTES // 2:
+            self._clear()

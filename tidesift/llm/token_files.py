@@ -9,28 +9,32 @@ group of Simple-8b, words, CRC-32 of all that, line feed.
 
 from __future__ import annotations
 
+import json
+import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidesift.llm import simple8b
-from tidesift.llm.chunks import by_word, spread
-from tidesift.llm.textbytes import pieces
+from tidesift.llm.chunks import ODD_SPACE, PIECE, ChunkMemory, by_word, spread
+from tidesift.llm.textbytes import PLAIN, pieces, texts
 
 MAGIC = b"S8BT"
 #: magic, part, number in the part, ids before it in the part, documents, ids, groups, words
 HEADER = struct.Struct("<4sIIQIQIQ")
 #: Ids after which a block ends (a longer document is one block), and blocks in a file.
 BLOCK_IDS, BLOCKS_PER_FILE = 1 << 16, 64
-#: Bound on the chunks whose ids a Python worker remembers.
-MEMORY = 200_000
+#: Chunks that go through the tokenizer as one text.
+JOINED = 1_024
 
 
 @dataclass
@@ -77,12 +81,70 @@ def unpack(content: bytes, decode: bool = True) -> Iterator[Block]:
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    # Spark runs as many workers as there are cores; threads of their own would only take memory and time from others.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
 
 
-_KNOWN: dict[str, dict[str, bytes]] = {}
+@lru_cache(maxsize=2)
+def _id_bytes(path: str) -> np.ndarray | None:
+    """Bytes of text behind each id, or None where ids of joined chunks need not be those of the chunks."""
+    tokenizer = _tokenizer(path)
+    made = json.loads(tokenizer.to_str())
+    first, added = made["pre_tokenizer"] or {}, made["added_tokens"]
+    plain = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space")
+    if not plain or made["normalizer"] or made["truncation"] or made["model"].get("dropout"):
+        return None
+    if any(a["lstrip"] or a["rstrip"] or a["single_word"] or (PLAIN[list(a["content"].encode())] == 0).any() for a in added):
+        return None
+    # A byte is one character of a token's name.
+    sizes = {i: len(token) for token, i in tokenizer.get_vocab().items()} | {a["id"]: len(a["content"].encode()) for a in added}
+    out = np.zeros(max(sizes) + 1, np.int64)
+    out[list(sizes)] = list(sizes.values())
+    return out
+
+
+def _encode_each(chunks: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    found = [e.ids for e in _tokenizer(path).encode_batch_fast(chunks, add_special_tokens=False)]
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+
+def _encode(chunks: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of chunks and how many each has.
+
+    Chunks that begin with white space and end without go through the tokenizer joined, many at a time, and
+    the bytes behind each id tell where a chunk ends: one list of ids instead of one for each chunk.
+    """
+    id_bytes = _id_bytes(path)
+    if id_bytes is None:
+        return _encode_each(chunks.to_pylist(), path)
+    t = texts(chunks)
+    full = np.flatnonzero(np.diff(t.bounds) > 0)
+    joins = np.zeros(len(t), bool)
+    joins[full] = (PLAIN[t.data[t.bounds[:-1][full]]] == 0) & (PLAIN[t.data[t.bounds[1:][full] - 1]] == 1)
+    joins &= ~pc.match_substring_regex(chunks, ODD_SPACE).to_numpy(zero_copy_only=False)
+    joined, alone = np.flatnonzero(joins), np.flatnonzero(~joins)
+    parts = [_encode_each(chunks.take(pa.array(alone)).to_pylist(), path)]
+    for start in range(0, len(joined), JOINED):
+        own = chunks.take(pa.array(joined[start : start + JOINED]))
+        whole = texts(own)
+        ids = np.array(_tokenizer(path).encode_batch_fast([whole.data.tobytes().decode()], add_special_tokens=False)[0].ids, np.uint32)
+        at, ends = np.cumsum(id_bytes[ids]), whole.bounds[1:]
+        last = np.searchsorted(at, ends)
+        fits = last[-1] == len(ids) - 1 and np.array_equal(at[last], ends)
+        parts.append((ids, np.diff(last, prepend=-1)) if fits else _encode_each(own.to_pylist(), path))
+    ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+    # Back to the order of the chunks.
+    back = np.argsort(np.concatenate((alone, joined)))
+    return spread(ids, sizes, back), sizes[back]
+
+
+@lru_cache(maxsize=2)
+def _memory(path: str) -> ChunkMemory:
+    return ChunkMemory(lambda chunks: _encode(chunks, path))
 
 
 def tokenize(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -92,16 +154,8 @@ def tokenize(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     while it is remembered.
     """
     chunks, codes, counts = by_word(column)
-    words = chunks.to_pylist()
-    known = _KNOWN.setdefault(path, {})
-    if len(known) > MEMORY:
-        known.clear()
-    new = [w for w in words if w not in known]
-    for w, found in zip(new, _tokenizer(path).encode_batch_fast(new, add_special_tokens=False), strict=True):
-        known[w] = np.array(found.ids, "<u4").tobytes()
-    own = [known[w] for w in words]
-    sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
-    ids = spread(np.frombuffer(b"".join(own), "<u4"), sizes, codes)
+    values, sizes = _memory(path).find(chunks)
+    ids = spread(values, sizes, codes)
     ends = np.concatenate(([0], np.cumsum(sizes[codes])))[np.concatenate(([0], np.cumsum(counts)))]
     return ids, np.diff(ends)
 
@@ -124,7 +178,7 @@ def write(df: DataFrame, path: str, doc_id: str, text: str, tokenizer: str, end_
         held: list[tuple] = []
         size = 0
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE):
                 ids, counts = tokenize(piece.column("text"), tokenizer)
                 if end_id is not None:
                     ids = np.insert(ids, np.cumsum(counts), end_id)
