@@ -71,6 +71,17 @@ def test_token_files_equal_the_library(spark, rows):
     assert crc == {r.doc_id: zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in got}
 
 
+def test_pieces_need_no_shuffle(spark, rows):
+    """Rows stay where they are and nothing is staged, so that the work needs no disk; repeated rows stay repeated."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = rows([(1, "a b"), (1, "a b"), (None, None)], "doc_id long, text string")
+    coded = sentencepiece_table.encode(docs, "text", path)
+    assert "Exchange" not in coded._jdf.queryExecution().executedPlan().toString()
+    assert coded.columns == ["doc_id", "ids", "decoded"]
+    assert sorted((r.doc_id or 0, r.decoded) for r in coded.collect()) == [(0, ""), (1, "a b"), (1, "a b")]
+    assert sentencepiece_table.encode(docs.limit(0), "text", path).count() == 0
+
+
 def test_memory_keeps_frequent_chunks(monkeypatch):
     """Past its bound the memory forgets chunks that came once, and what it gives stays right."""
     asked = []

@@ -2,35 +2,29 @@
 
 Pieces of the model do not cross white space, so a text's ids are those of its chunks, one after the other.
 
-1. Texts are taken in blocks of some megabytes. A block keeps the places of its chunks as numbers, and its distinct
-   chunks in buckets by hash.
-2. Rows of a bucket meet in one task, which segments each distinct chunk once and answers every block.
-3. Blocks meet their answers, and ids are put in place.
-
-Only distinct chunks of blocks are shuffled by chunk, so a frequent word is one row entry a block, and the work of a
-task is bounded by blocks, not by how often a word occurs. Nothing is broadcast.
+A task cuts its texts some megabytes at a time, looks their distinct chunks up in its worker's table, segments those
+that it does not hold, and puts ids in place. The table is bounded: past that, rare chunks are forgotten and segmented
+again where they come back. No row moves and nothing is staged, so the work needs no disk, and that of a task is bounded
+by its texts, not by how often a word occurs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tidesift.llm.chunks import by_space, spread
-from tidesift.llm.textbytes import pieces, texts, word_hashes
-from tidesift.sources.scratch import scratch_path
+from tidesift.llm.chunks import PIECE, ChunkMemory, by_space, spread
+from tidesift.llm.textbytes import pieces
 
 MARK = "▁"
-#: Bytes of text in a block, but for a longer text, which is one by itself.
-BLOCK = 8 << 20
 
 
 @lru_cache(maxsize=2)
@@ -53,111 +47,18 @@ def _cuts(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return by_space(pc.replace_substring(column.cast(pa.large_string()), MARK, " "))
 
 
-def _buckets(chunks: pa.Array, n: int) -> np.ndarray:
-    t = texts(chunks)
-    out = np.zeros(len(t), np.int64)
-    full = np.diff(t.bounds) > 0
-    hashes = word_hashes(t.data, t.bounds[:-1][full], t.bounds[1:][full])
-    out[full] = (hashes % np.uint64(n)).astype(np.int64)
-    return out
-
-
-def _pack(codes: np.ndarray) -> bytes:
-    """Numbers as compressed planes of bytes; frequent chunks have small numbers."""
-    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return pa.Codec("zstd").compress(np.ascontiguousarray(planes).tobytes(), asbytes=True)
-
-
-def _unpack(packed: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.Codec("zstd").decompress(packed, 4 * n, asbytes=True), np.uint8).reshape(4, n)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
-
-
-_HEAD, _WORDS = -1, -2
-
-
-def _blocks(df: DataFrame, text: str, buckets: int) -> DataFrame:
-    """Rows of texts by block and place, each block's codes (place -1), and its distinct chunks by bucket (-2)."""
-    kept = [f for f in df.schema.fields if f.name != text]
-    row = StructType(kept)
-    names = [f.name for f in kept]
-    schema = StructType(
-        [StructField("row", row)]
-        + StructType.fromDDL(
-            "block long, place int, codes binary, sizes binary, bucket_of binary, bucket int, chunks array<string>"
-        ).fields
-    )
-
-    def emit(parts: list[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
-        whole = pa.Table.from_batches(parts).combine_chunks().to_batches()
-        whole = whole[0] if whole else parts[0]
-        n = whole.num_rows
-        chunks, codes, sizes = _cuts(whole.column(text))
-        often = np.argsort(-np.bincount(codes, minlength=len(chunks)), kind="stable")
-        rank = np.empty(len(chunks), np.int64)
-        rank[often] = np.arange(len(chunks))
-        bucket = _buckets(chunks, buckets)[often]
-        order = np.argsort(bucket, kind="stable")  # by bucket, then by rank
-        words = pc.take(chunks, pa.array(often[order])).cast(pa.string())
-        used, first = np.unique(bucket[order], return_index=True)
-        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), words)
-        columns = [whole.column(name) for name in names]
-        rows = pa.StructArray.from_arrays(columns, fields=[whole.schema.field(name) for name in names])
-        total = n + 1 + len(used)
-        nulls = lambda k, kind: pa.nulls(k, kind)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.concat_arrays([rows, nulls(1 + len(used), rows.type)]),
-                pa.array(np.full(total, block)),
-                pa.array(np.concatenate((np.arange(n), [_HEAD], np.full(len(used), _WORDS))).astype(np.int32)),
-                pa.concat_arrays([nulls(n, pa.binary()), pa.array([_pack(rank[codes])]), nulls(len(used), pa.binary())]),
-                pa.concat_arrays([nulls(n, pa.binary()), pa.array([sizes.astype("<i8").tobytes()]), nulls(len(used), pa.binary())]),
-                pa.concat_arrays([nulls(n, pa.binary()), pa.array([bucket.astype("<u2").tobytes()]), nulls(len(used), pa.binary())]),
-                pa.concat_arrays([nulls(n + 1, pa.int32()), pa.array(used, pa.int32())]),
-                pa.concat_arrays([nulls(n + 1, lists.type), lists]),
-            ],
-            names=schema.fieldNames(),
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
-        parts, held = [], 0
-        for batch in batches:
-            for piece in pieces(batch, text):
-                parts.append(piece)
-                held += int(texts(piece.column(text)).bounds[-1])
-                if held >= BLOCK:
-                    yield from emit(parts, block)
-                    parts, held, block = [], 0, block + 1
-        if parts:
-            yield from emit(parts, block)
-
-    return df.mapInArrow(run, schema)
+@lru_cache(maxsize=2)
+def _table(path: str) -> ChunkMemory:
+    sp = processor(path)
 
+    def segment(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        words = chunks.to_pylist()
+        found = sp.encode(words, num_threads=1)
+        found = [ids if w else [sp.piece_to_id(MARK)] for w, ids in zip(words, found, strict=True)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
 
-def _segment(path: str, width: str):
-    """Answers for the chunks of a bucket: numbers of ids, and the ids. Each distinct chunk is segmented once a task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sp = processor(path)
-        known = {"": np.array([sp.piece_to_id(MARK)], width).tobytes()}
-        step = np.dtype(width).itemsize
-        for batch in batches:
-            sizes, ids = [], []
-            for words in batch.column("chunks"):
-                words = words.as_py()
-                new = [w for w in words if w not in known]
-                for w, found in zip(new, sp.encode(new, num_threads=1), strict=True):
-                    known[w] = np.array(found, width).tobytes()
-                own = [known[w] for w in words]
-                sizes.append((np.fromiter(map(len, own), np.int64, len(own)) // step).astype("<u4").tobytes())
-                ids.append(b"".join(own))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("bucket"), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())],
-                names=["block", "bucket", "sizes", "ids"],
-            )
-
-    return run
+    return ChunkMemory(segment)
 
 
 @lru_cache(maxsize=2)
@@ -214,50 +115,26 @@ def encode(df: DataFrame, text: str, path: str, ids: str = "ids", decoded: str =
     the new ones are replaced. ``path`` must lead to the model on every executor.
     """
     check_model(path)
-    spark = df.sparkSession
-    size = processor(path).get_piece_size()
-    width = "<u2" if size <= 1 << 16 else "<u4"
     df = df.select(*[F.col(f"`{f.name}`") for f in df.schema.fields if f.name.lower() not in (ids, decoded) or f.name == text])
-    buckets = min(1 << 16, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    path_of_blocks = scratch_path(spark, "blocks")
-    _blocks(df, text, buckets).write.option("compression", "zstd").parquet(path_of_blocks)
-    blocks = spark.read.parquet(path_of_blocks)
-    words = blocks.where(F.col("place") == _WORDS).select("block", "bucket", "chunks")
-    answers = words.repartition("bucket").mapInArrow(
-        _segment(path, width), "block long, bucket int, sizes binary, ids binary"
-    )
-    schema = StructType(
-        [StructField("row", blocks.schema["row"].dataType), StructField("ids", ArrayType(IntegerType())), StructField("decoded", StringType())]
-    )
+    kept = [f for f in df.schema.fields if f.name != text]
+    schema = StructType([*kept, StructField(ids, ArrayType(IntegerType())), StructField(decoded, StringType())])
     eos = processor(path).eos_id()
 
-    def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        place = left.column("place").to_numpy()
-        head = int(np.flatnonzero(place == _HEAD)[0])
-        sizes = np.frombuffer(left.column("sizes")[head].as_py(), "<i8")
-        codes = _unpack(left.column("codes")[head].as_py(), int(sizes.sum())).astype(np.int64)
-        bucket_of = np.frombuffer(left.column("bucket_of")[head].as_py(), "<u2")
-        right = right.sort_by("bucket")
-        by_bucket = np.argsort(bucket_of, kind="stable")
-        n_ids = np.frombuffer(b"".join(right.column("sizes").to_pylist()), "<u4").astype(np.int64)
-        values = np.frombuffer(b"".join(right.column("ids").to_pylist()), width)
-        first = np.empty(len(bucket_of), np.int64)
-        size_of = np.empty(len(bucket_of), np.int64)
-        first[by_bucket], size_of[by_bucket] = np.cumsum(n_ids) - n_ids, n_ids
-        chunk_ids = size_of[codes]
-        ends = np.cumsum(chunk_ids)
-        flat = values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[codes] - (ends - chunk_ids), chunk_ids)]
-        flat = flat.astype(np.int64)
-        total = np.concatenate(([0], ends))
-        bounds = total[np.concatenate(([0], np.cumsum(sizes)))]
-        if end:
-            flat = np.insert(flat, bounds[1:], eos)
-            bounds = bounds + np.arange(len(bounds))
-        texts_out = decode_ids(flat, np.diff(bounds), path)
-        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
-        rows = left.filter(pa.array(place >= 0)).sort_by("place").column("row")
-        return pa.table({"row": rows, "ids": lists, "decoded": texts_out.cast(pa.string())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _table(path)
+        for batch in batches:
+            for piece in pieces(batch, text, PIECE):
+                chunks, codes, sizes = _cuts(piece.column(text))
+                values, n_ids = table.find(chunks)
+                flat = spread(values, n_ids, codes).astype(np.int64)
+                total = np.concatenate(([0], np.cumsum(n_ids[codes])))
+                bounds = total[np.concatenate(([0], np.cumsum(sizes)))]
+                if end:
+                    flat = np.insert(flat, bounds[1:], eos)
+                    bounds = bounds + np.arange(len(bounds))
+                texts_out = decode_ids(flat, np.diff(bounds), path)
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))
+                columns = [*(piece.column(f.name) for f in kept), lists, texts_out.cast(pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
-    left = blocks.where(F.col("place") >= _HEAD).select("row", "block", "place", "codes", "sizes", "bucket_of")
-    out = left.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(join, schema)
-    return out.select("row.*", F.col("ids").alias(ids), F.col("decoded").alias(decoded))
+    return df.mapInArrow(run, schema)
