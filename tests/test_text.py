@@ -10,7 +10,7 @@ from tidesift.functions import text as tx
 from tidesift.operators import joins, preprocess as pp
 from tidesift.operators.langid import ngram_language_id, train_profiles, word_grams
 from tidesift.operators.preprocess import TextTables, default_tables
-from tidesift.operators.stems import INDONESIAN, build_stems
+from tidesift.operators.stems import INDONESIAN, AffixRules, build_stems, stem_tokens
 from tidesift.sources import wordlists
 
 EDGE = [
@@ -238,3 +238,14 @@ def test_language_of_rows_with_null_and_repeated_ids(rows):
     got = ngram_language_id(df, profiles).collect()
     assert sorted(str((r.doc_id, r.lang_pred)) for r in got) == sorted(str(x) for x in [(None, "x"), (None, "y"), (1, "y"), (1, "x"), (1, "x")])
     assert len({r.score for r in got if (r.doc_id, r.lang_pred) == (1, "x")}) == 1
+
+
+def test_stemming_makes_its_words_once(spark, rows):
+    """What comes before the stems, such as a filter by language, is not done again to count, look up and put back words."""
+    df = rows([(1, "UNDOING it"), (1, None), (None, "undoing")], "doc_id long, text string")
+    df = df.withColumn("tokens", F.split(F.lower(F.coalesce("text", F.lit(""))), " ")).withColumn("nothing", F.lit(None))
+    out = stem_tokens(df, "tokens", rows([("do",)], "word string"), AffixRules(["(ing)"], [("(un)", "")], 1))
+    assert out.columns == df.columns and out.schema["nothing"].dataType.typeName() == "void"
+    assert "lower(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted((r.doc_id or 0, r.text or "", r.tokens) for r in out.collect())
+    assert got == [(0, "undoing", ["do"]), (1, "", [""]), (1, "UNDOING it", ["do", "it"])]
