@@ -11,6 +11,7 @@ from tidesift.operators import joins, preprocess as pp
 from tidesift.operators.langid import ngram_language_id, train_profiles, word_grams
 from tidesift.operators.preprocess import TextTables, default_tables
 from tidesift.operators.stems import INDONESIAN, AffixRules, build_stems, stem_tokens
+from tidesift.plans.catalog import texts as catalog
 from tidesift.sources import wordlists
 
 EDGE = [
@@ -249,3 +250,13 @@ def test_stemming_makes_its_words_once(spark, rows):
     assert "lower(" not in out._jdf.queryExecution().optimizedPlan().toString()
     got = sorted((r.doc_id or 0, r.text or "", r.tokens) for r in out.collect())
     assert got == [(0, "undoing", ["do"]), (1, "", [""]), (1, "UNDOING it", ["do", "it"])]
+
+
+def test_large_map_cleans_texts_once(spark, rows, tmp_path):
+    """The words are read for the map, for the lookup and for the result; texts are cleaned before, once."""
+    docs = rows([(1, "en", "A b c", 5), (2, "en", "b, d", 4), (3, None, None, None), (None, "en", "c", 1)], "doc_id long, lang string, text string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    out = catalog.normalize_words_large(spark, str(tmp_path))
+    assert "regexp_replace(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    # Each word stands for the one that last follows it.
+    assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == [(0, "c"), (1, "b d c"), (2, "d d")]
