@@ -1,4 +1,5 @@
 """Classifiers by held-out accuracy; token ids against the libraries; stages of the pipeline."""
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -103,6 +104,31 @@ def test_memory_keeps_frequent_chunks(monkeypatch):
     assert memory.find(pa.array(["often", "new"]))[1].tolist() == [5, 3] and not len(memory.chunks)
 
 
+def test_slices_are_put_in_place_in_little_memory():
+    """What a worker holds beyond the result does not grow by several whole numbers for each byte of it."""
+    values, sizes = np.arange(40, dtype=np.uint8), np.array([0, 30, 1, 9], np.int64)
+    codes = np.tile(np.array([1, 3, 0, 2, 1]), 40_000)
+    tracemalloc.start()
+    found = chunks.spread(values, sizes, codes)
+    held = tracemalloc.get_traced_memory()[1] - found.nbytes
+    tracemalloc.stop()
+    ends = np.cumsum(sizes)
+    want = np.concatenate([values[ends[c] - sizes[c] : ends[c]] for c in codes[:5]])
+    assert found.tolist() == np.tile(want, 40_000).tolist() and not len(chunks.spread(values, sizes, codes[:0]))
+    assert held < 6 * found.nbytes
+
+
+def test_pieces_are_remembered_within_a_bound_of_their_own():
+    """A table of pieces forgets before it holds as many chunks as a token table may."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    table = sentencepiece_table._table(path)
+    for start in range(0, 400_000, 100_000):
+        words = [f"{k:x}" for k in range(start, start + 100_000)]
+        ids, sizes = table.find(pa.array(words))
+        assert ids[: sizes[0]].tolist() == sentencepiece_table.processor(path).encode(words[0])
+        assert len(sizes) == len(words) and len(table.chunks) <= 250_000
+
+
 def test_joined_chunks_have_their_own_ids():
     """Chunks go through the tokenizer together; ends of texts, rare blanks and added tokens do not run into others."""
     path = public_tokenizers.path("byte_bpe_50k.json")

@@ -19,6 +19,8 @@ ODD_SPACE = (
 PIECE = 8 << 20
 #: Bounds on the chunks that a Python worker remembers, and on their bytes.
 REMEMBERED, REMEMBERED_BYTES = 1_000_000, 64 << 20
+#: Slices that ``spread`` puts in place at once, and new chunks that are encoded at once.
+SPREAD, ENCODED = 1 << 16, 1 << 14
 
 
 def _distinct(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
@@ -68,11 +70,20 @@ def by_word(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 def spread(values: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """Concatenation of the slices that the codes name; slice ``i`` of the values has ``sizes[i]`` of them."""
+    """Concatenation of the slices that the codes name; slice ``i`` of the values has ``sizes[i]`` of them.
+
+    Places are made for some codes at a time: those of all would take many times the bytes of the result.
+    """
     first = np.cumsum(sizes) - sizes
-    size = sizes[codes]
-    ends = np.cumsum(size)
-    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[codes] - (ends - size), size)]
+    out = np.empty(int(sizes[codes].sum()), values.dtype)
+    at = 0
+    for start in range(0, len(codes), SPREAD):
+        some = codes[start : start + SPREAD]
+        size = sizes[some]
+        ends = np.cumsum(size)
+        out[at : at + ends[-1]] = values[np.arange(ends[-1]) + np.repeat(first[some] - (ends - size), size)]
+        at += ends[-1]
+    return out
 
 
 class ChunkMemory:
@@ -82,8 +93,8 @@ class ChunkMemory:
     were asked for once are forgotten, and of others those asked for least.
     """
 
-    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], most: int | None = None):
+        self.encode, self.most = encode, most
         self._clear()
 
     def _clear(self) -> None:
@@ -104,12 +115,12 @@ class ChunkMemory:
             self.hits = np.concatenate((self.hits, np.zeros(len(new), np.int64)))
         self.hits[at] += 1
         found = spread(self.ids, self.sizes, at), self.sizes[at]
-        if len(self.chunks) > REMEMBERED or self.chunks.nbytes > REMEMBERED_BYTES:
+        if len(self.chunks) > (self.most or REMEMBERED) or self.chunks.nbytes > REMEMBERED_BYTES:
             self._forget()
         return found
 
     def _forget(self) -> None:
-        most = REMEMBERED // 2
+        most = (self.most or REMEMBERED) // 2
         kept = np.flatnonzero(self.hits > 1)
         if len(kept) > most:
             kept = np.sort(kept[np.argpartition(-self.hits[kept], most)[:most]])

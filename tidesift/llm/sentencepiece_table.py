@@ -21,10 +21,12 @@ import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tidesift.llm.chunks import PIECE, ChunkMemory, by_space, spread
+from tidesift.llm.chunks import ENCODED, ChunkMemory, by_space, spread
 from tidesift.llm.textbytes import pieces
 
 MARK = "▁"
+#: Bytes of text that are cut together, and chunks that a worker remembers: what a worker holds is a multiple of both.
+PIECE, REMEMBERED = 2 << 20, 250_000
 
 
 @lru_cache(maxsize=2)
@@ -52,13 +54,17 @@ def _table(path: str) -> ChunkMemory:
     sp = processor(path)
 
     def segment(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        words = chunks.to_pylist()
-        found = sp.encode(words, num_threads=1)
-        found = [ids if w else [sp.piece_to_id(MARK)] for w, ids in zip(words, found, strict=True)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
-
-    return ChunkMemory(segment)
+        parts = [(np.zeros(0, np.uint32), np.zeros(0, np.int64))]
+        for start in range(0, len(chunks), ENCODED):
+            words = chunks.slice(start, ENCODED).to_pylist()
+            found = sp.encode(words, num_threads=1)
+            found = [ids if w else [sp.piece_to_id(MARK)] for w, ids in zip(words, found, strict=True)]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            parts.append((np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes))
+        ids, sizes = zip(*parts)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    return ChunkMemory(segment, REMEMBERED)
 
 
 @lru_cache(maxsize=2)
