@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from tidesift.operators import evaluate as ev, features as ft
+from tidesift.operators import counts as cn, evaluate as ev, features as ft
 
 TEXTS = ["aa bb aa", "aa cc", "bb cc dd aa", "", None, "x aa", "dd ee"]
 
@@ -34,6 +34,20 @@ def brute_tfidf(texts, min_df, top):
     return kept, out
 
 
+def test_terms_of_many_texts_are_counted_together(texts, monkeypatch):
+    """Terms leave a task once for all texts counted together, and their sums are right however the texts are parted."""
+    counts = [terms_of(t) for t in TEXTS]
+    want = {t: (sum(t in c for c in counts), sum(c[t] for c in counts)) for t in sum(counts, Counter())}
+    words = texts.select(ft.term_tokens(F.col("processed_text")).alias("words")).coalesce(1).toArrow().combine_chunks().to_batches()
+    for bound in (1, 3, 1 << 21):
+        monkeypatch.setattr(cn, "COUNTED", bound)
+        found = [r for b in cn.count_terms(iter(words)) for r in b.to_pylist()]
+        got = {t: (sum(r["df"] for r in found if r["term"] == t), sum(r["tf"] for r in found if r["term"] == t)) for t in {r["term"] for r in found}}
+        assert got == want and (bound < 9 or len(found) == len(want))
+    assert {r.term: (r.df, r.tf) for r in ft.vocabulary_terms(texts, min_df=1).collect()} == want
+    assert ft.vocabulary_terms(texts.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("min_df, top", [(1, 100), (2, 100), (1, 3)])
 def test_tfidf_equals_the_formula(texts, min_df, top):
     kept, want = brute_tfidf(TEXTS, min_df, top)
