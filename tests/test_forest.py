@@ -81,6 +81,16 @@ def test_search_by_folds(spark, small):
     assert len(rows) == 4 and rows[0]["params"]["max_depth"] == "4" and best.getMaxDepth() == 4
 
 
+def test_bins_made_before_give_the_same_forest(small):
+    """Several forests can read one table of bins."""
+    settings = {"num_trees": 3, "max_depth": 3, "bootstrap": False}  # draws go by the place of a row
+    weight = "weight" if "weight" in small.columns else None
+    binned = models.bin_for_forests(small)
+    got, want = models.fit_forest(small, binned, weight=weight, **settings), models.fit_forest(small, weight=weight, **settings)
+    trees = [[t for t in m.toDebugString.splitlines() if "uid" not in t] for m in (got, want)]
+    assert trees[0] == trees[1] and len(trees[0]) > 3
+
+
 def test_rows_of_many_features_stay_small(spark):
     """A row of 20 000 features took 80 KB; its bins take what its 8 entries take."""
     df = spark.createDataFrame(_data(300, WIDE), ["label_idx", "features", "weight", "fold"])
