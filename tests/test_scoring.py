@@ -226,3 +226,13 @@ def test_stream_of_a_table_in_several_files(spark, rows, tmp_path, files):
         df.repartition(files).write.parquet(str(tmp_path / "conversations.parquet"))
     got = {r.doc_id: (r.sentiment, r.error) for r in serving.score_stream_requests(spark, str(tmp_path)).collect()}
     assert got == {"0:0": ("Positif", None), "1:0": ("Negatif", None), "2:0": (None, "unknown model"), "3:0": (None, "text must not be empty"), "4:0": (None, "text must not be empty")}
+
+
+@pytest.mark.parametrize("inner", [["role"], []])
+def test_stream_reads_the_rows_that_a_batch_reads(spark, rows, tmp_path, inner):
+    """A table in folders by a column's values; and none of the rows of a table whose name begins like its own."""
+    df = rows([(k, 0, role, "for with") for k, role in enumerate(["user", "assistant", "user"])], "conv_id long, turn long, role string, text string")
+    df.write.partitionBy(*inner).parquet(str(tmp_path / "conversations.parquet"))
+    df.write.parquet(str(tmp_path / "conversations_old.parquet"))
+    got = sorted((r.doc_id, r.model, r.sentiment) for r in serving.score_stream_requests(spark, str(tmp_path)).collect())
+    assert got == [("0:0", "user", "Positif"), ("1:0", "assistant", "Positif"), ("2:0", "user", "Positif")]
