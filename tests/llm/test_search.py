@@ -9,8 +9,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidesift.llm import decontaminate as dec, jaccard_tree, nearest
+from tidesift.llm import components as components_, decontaminate as dec, jaccard_tree, nearest
 from tidesift.llm.queries import leaks
+from tidesift.sources.scratch import stage
 
 WORDS = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
 
@@ -199,3 +200,15 @@ def test_bins_bound_the_overlap_of_long_sets(rows):
     pairs = rows([(a, b, True) for a in sets for b in sets if a < b], "a long, b long, long boolean")
     kept = {(r.a, r.b) for r in jaccard_tree.plausible(pairs, classes, rule).collect()}
     assert alike <= kept and all(a // 5 == b // 5 for a, b in kept)
+
+
+def test_components_stop_when_only_stars_are_left(spark, monkeypatch):
+    """A star is written once, not once more to see that nothing changes; a chain takes its rounds and gives one root."""
+    written = []
+    monkeypatch.setattr(components_, "stage", lambda df, name: written.append(name) or stage(df, name))
+    star = spark.createDataFrame([(k, 0) for k in range(1, 9)] + [(None, 3), (4, None), (5, 5)], "a long, b long")
+    assert {tuple(r) for r in components_.components(star).collect()} == {(k, 0) for k in range(1, 9)}
+    assert len(written) == 1
+    chain = spark.createDataFrame([(k, k + 1) for k in range(20)] + [(40, 41)], "a long, b long")
+    assert {tuple(r) for r in components_.components(chain).collect()} == {(k, 0) for k in range(1, 21)} | {(41, 40)}
+    assert components_.components(chain.limit(0)).count() == 0

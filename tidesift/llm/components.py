@@ -7,10 +7,15 @@ from pyspark.sql import DataFrame, functions as F
 from tidesift.sources.scratch import stage
 
 
+def _both(df: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """``(a, b)`` of each row's pairs of columns, from one reading of the rows."""
+    return df.select(F.inline(F.array(*[F.struct(F.col(a).alias("a"), F.col(b).alias("b")) for a, b in pairs])))
+
+
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """Links each node's larger (or smaller) neighbours to the smallest node around it."""
     if large:
-        around = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        around = _both(links, ("a", "b"), ("b", "a"))
     else:
         around = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     lowest = around.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low"))
@@ -18,21 +23,25 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     if large:
         out = met.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b"))
     else:
-        out = met.select("b", "low").union(met.select(F.col("a").alias("b"), "low")).toDF("a", "b")
+        out = _both(met, ("b", "low"), ("a", "low"))
     return out.where(F.col("a") != F.col("b")).distinct()
 
 
+def _stars_left(links: DataFrame) -> bool:
+    """Whether each node has one link to a node that has none, or is such a node: another round would change nothing."""
+    end = lambda c, up: F.struct(F.col(c).alias("id"), F.lit(up).alias("up"), F.lit(1 - up).alias("down"))
+    nodes = links.select(F.inline(F.array(end("a", 1), end("b", 0)))).groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up + down > 1").agg(F.count("*")).first()[0] == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """``(id, root)`` of all nodes with a link but the roots; the root is the smallest id that can be reached.
 
     ``links`` has the columns ``a`` and ``b``, of one type that can be ordered; links with a null end join nothing.
-    Alternates large and small stars until nothing changes, each round written to the shared folder.
+    Alternates large and small stars until only stars are left, each round written to the shared folder.
     """
     links = links.select("a", "b").where(F.col("a") != F.col("b")).distinct()
-    mark = None
     while True:
         links = stage(_star(_star(links, large=True), large=False), "links")
-        size = links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first()
-        if size == mark or size[0] == 0:
+        if _stars_left(links):
             return links.select(F.col("a").alias("id"), F.col("b").alias("root"))
-        mark = size

@@ -68,6 +68,6 @@ def collect_features(rows: DataFrame, text: str, label: str, grams: NGrams) -> t
                     [binaries(features, counts).cast(pa.binary()), piece.column(label)], names=["features", "label"]
                 )
 
-    found = rows.select(text, label).mapInArrow(run, "features binary, label double").collect()
-    found.sort(key=lambda r: (bytes(r["features"]), r["label"]))
-    return [np.frombuffer(r["features"], np.int32) for r in found], np.array([r["label"] for r in found], np.float64)
+    table = rows.select(text, label).mapInArrow(run, "features binary, label double").toArrow()
+    found = sorted(zip(table["features"].to_pylist(), table["label"].to_pylist(), strict=True))
+    return [np.frombuffer(f, np.int32) for f, _ in found], np.array([y for _, y in found], np.float64)

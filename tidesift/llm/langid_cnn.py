@@ -144,7 +144,8 @@ def fit(rows: DataFrame, text: str, label: str) -> Model:
                         yield pa.RecordBatch.from_pydict({"window": own, "label": [y] * len(own)})
 
     rows = rows.where(rows[label].isNotNull()).select(text, label)
-    seen = sorted((bytes(r["window"]), r["label"]) for r in rows.mapInArrow(run, "window binary, label string").collect())
+    table = rows.mapInArrow(run, "window binary, label string").toArrow()
+    seen = sorted(zip(table["window"].to_pylist(), table["label"].to_pylist(), strict=True))
     classes = sorted({y for _, y in seen})
     numbers = {y: i for i, y in enumerate(classes)}
     x = np.frombuffer(b"".join(w for w, _ in seen), np.uint8).reshape(-1, WINDOW)
