@@ -56,7 +56,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = docs.withColumn(key, F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), digest))
     joined = jaccard_tree.join(keyed, key, "text", jaccard_tree.Rule())
     first = joined.where(F.col("doc_id").eqNullSafe(F.col("component"))).select(F.col("doc_id").alias(key), F.col("size").alias(size))
-    kept = keyed.join(first.distinct(), key).withColumn(own, F.when(F.col(size) == 0, F.monotonically_increasing_id()))
+    kept = keyed.join(first.distinct().hint("merge"), key).withColumn(own, F.when(F.col(size) == 0, F.monotonically_increasing_id()))
     return kept.groupBy(key, own).agg(F.min(F.struct(docs.columns)).alias("row")).select("row.*")
 
 

@@ -19,7 +19,8 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     else:
         around = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     lowest = around.groupBy("a").agg(F.min("b").alias("low")).withColumn("low", F.least("a", "low"))
-    met = around.join(lowest, "a")
+    # Spark sizes the links by their files, too low, and might broadcast a side.
+    met = around.join(lowest.hint("merge"), "a")
     if large:
         out = met.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("low").alias("b"))
     else:

@@ -12,6 +12,9 @@
 5. What is left is verified on the whole sets. The first traversal pairs each class of a larger cell with one
    other, that with the largest possible overlap, so that a group of copies is joined by about as many links as it
    has members; the second runs over what is still in different components, and leaves nothing out.
+
+No table that is joined is bounded, and Spark sizes exploded ones by the files below them, far too low. So joins are
+told to merge: none may broadcast.
 """
 
 from __future__ import annotations
@@ -394,7 +397,7 @@ def plausible(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     bins = classes.where(F.col("bins").isNotNull())
     left = bins.select(F.col("id").alias("a"), F.col("size").alias("na"), F.col("bins").alias("left"))
     right = bins.select(F.col("id").alias("b"), F.col("size").alias("nb"), F.col("bins").alias("right"))
-    met = pairs.where("long").select("a", "b").join(left, "a").join(right, "b")
+    met = pairs.where("long").select("a", "b").join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     return pairs.where("not long").select("a", "b").unionAll(met.mapInArrow(run, "a long, b long"))
 
 
@@ -422,11 +425,11 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str,
     The first class of a pair is a hub: the sets of its partners are sent to it, and its own once per slot of them.
     """
     hubs = pairs.groupBy("a").agg(F.ceil(F.count("*") / SLOT).cast("int").alias("slots"))
-    partners = pairs.join(hubs, "a").select(
+    partners = pairs.join(hubs.hint("merge"), "a").select(
         F.col("b").alias("id"), F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), F.col("slots")).cast("int").alias("slot")
     )
     own = hubs.select(F.col("a").alias("id"), F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"))
-    sent = classes.select("id", "print", F.col("sample").alias("doc_id")).join(partners.unionAll(own), "id")
+    sent = classes.select("id", "print", F.col("sample").alias("doc_id")).join(partners.unionAll(own).hint("merge"), "id")
     wanted = stage(sent, "sent")
     filter_bits = docs.sparkSession.sparkContext.broadcast(_id_filter(wanted.select("doc_id")))
 
@@ -452,7 +455,7 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str,
     kind = rows.schema["doc_id"].dataType.simpleString()
     grams = rows.mapInArrow(run, f"doc_id {kind}, print binary, grams binary")
     same = grams["doc_id"].eqNullSafe(wanted["doc_id"])
-    met = wanted.join(grams, (wanted["print"] == grams["print"]) & same)
+    met = wanted.join(grams.hint("merge"), (wanted["print"] == grams["print"]) & same)
     met = met.select("hub", "slot", (F.col("id") != F.col("hub")).alias("partner"), "id", "grams")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -500,23 +503,23 @@ def join(docs: DataFrame, doc_id: str, text: str, rule: Rule = Rule()) -> DataFr
         F.count("*").alias("n"), F.min("id").alias("home"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")
     )
     found = found.where("n > 1").groupBy("n", "x", "y").agg(F.min("token").alias("token"), F.min("home").alias("home"))
-    cells = stage(members.join(found.select("token", "n", "home"), "token").select("token", "n", "home", "id"), "cells")
-    facts = classes.select("id", "size", "bits", "coarse")
+    cells = stage(members.join(found.select("token", "n", "home").hint("merge"), "token").select("token", "n", "home", "id"), "cells")
+    facts = classes.select("id", "size", "bits", "coarse").hint("merge")
 
     first = candidates(cells.join(facts, "id").withColumn("root", F.col("id")), rule, forest=True)
     first = stage(plausible(first, classes, rule), "pairs")
     links = stage(verified(first, classes, docs, doc_id, text, rule).select("a", "b"), "links")
     roots = components(links)
 
-    rooted = cells.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    rooted = cells.join(roots.hint("merge"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    second = candidates(rooted.join(mixed.select("token"), "token", "left_semi").join(facts, "id"), rule, forest=False)
-    second = stage(plausible(second.join(first, ["a", "b"], "left_anti"), classes, rule), "pairs")
+    second = candidates(rooted.join(mixed.select("token").hint("merge"), "token", "left_semi").join(facts, "id"), rule, forest=False)
+    second = stage(plausible(second.join(first.hint("merge"), ["a", "b"], "left_anti"), classes, rule), "pairs")
     more = verified(second, classes, docs, doc_id, text, rule).select("a", "b")
     roots = components(links.union(more))
 
-    named = classes.select("id", "print", "doc_id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    named = classes.select("id", "print", "doc_id").join(roots.hint("merge"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     lowest = named.groupBy("root").agg(F.min("doc_id").alias("component"))
-    named = named.join(lowest, "root").select("print", "component")
-    out = rows.select("doc_id", "size", "print").join(named, "print", "left")
+    named = named.join(lowest.hint("merge"), "root").select("print", "component")
+    out = rows.select("doc_id", "size", "print").join(named.hint("merge"), "print", "left")
     return out.select("doc_id", "size", F.coalesce("component", "doc_id").alias("component"))
