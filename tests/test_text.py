@@ -260,3 +260,10 @@ def test_large_map_cleans_texts_once(spark, rows, tmp_path):
     assert "regexp_replace(" not in out._jdf.queryExecution().optimizedPlan().toString()
     # Each word stands for the one that last follows it.
     assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == [(0, "c"), (1, "b d c"), (2, "d d")]
+
+
+def test_long_runs_without_letters_are_cleaned(spark):
+    """A run of some thousand signs overflowed the stack of the pattern."""
+    run = F.repeat(F.lit("-. 7\u2705"), 100_000)
+    got = spark.range(1).select(tx.filter_text(F.concat(F.lit("a"), run, F.lit("b\u2702c\u2169\u00b2"))).alias("x")).first()["x"]
+    assert got == "a b c\u2169\u00b2"
