@@ -267,3 +267,15 @@ def test_long_runs_without_letters_are_cleaned(spark):
     run = F.repeat(F.lit("-. 7\u2705"), 100_000)
     got = spark.range(1).select(tx.filter_text(F.concat(F.lit("a"), run, F.lit("b\u2702c\u2169\u00b2"))).alias("x")).first()["x"]
     assert got == "a b c\u2169\u00b2"
+
+
+def test_word_map_shuffles_a_word_once_for_many_texts(spark, rows, monkeypatch):
+    """One row for each word and task is sorted, not one for each token; the last pair by id and place wins, null ids first."""
+    sent = []
+    real = catalog.files.clean_word_map
+    monkeypatch.setattr(catalog.files, "clean_word_map", lambda df: sent.append(df.count()) or real(df))
+    texts = [(5, "a b a c".split()), (None, "a z q r".split()), (7, "a d".split()), (7, "x a e".split()), (6, ["a"]), (1, []), (2, None)]
+    docs = [(k, ["a", "b", "b", "a"] * 20) for k in (-3, -2, -1)] + texts
+    got = {r.word: r.formal for r in catalog._word_map(rows(docs, "doc_id long, tokens array<string>").coalesce(1)).collect()}
+    assert got == {"a": "e", "b": "a", "x": "a", "z": "q", "q": "r"}
+    assert sent == [5]
